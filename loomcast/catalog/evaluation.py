@@ -136,13 +136,13 @@ def ensemble_equal(spark, folder):
     "ensemble_inverse_mape",
     t.WITH_RANKED
     + """select product, country, year, month, max(actual) as actual,
-         round(sum(predicted / (mape + 1e-6)) / sum(1 / (mape + 1e-6)), 3) as predicted, count(*) as models_used
+         round(sum(predicted / (mape + 1e-6)) / sum(1 / (mape + 1e-6)), 5) as predicted, count(*) as models_used
          from long_forecasts join ranked using (product, country, model)
          where predicted is not null group by 1, 2, 3, 4""",
 )
 def ensemble_inverse_mape(spark, folder):
     forecasts, ranking = ranked(spark, folder)
-    return t.rounded(combine(forecasts, ranking, MONTHLY, "inverse_mape").drop("model"), 3, "predicted")
+    return t.rounded(combine(forecasts, ranking, MONTHLY, "inverse_mape").drop("model"), 5, "predicted")
 
 
 @query(

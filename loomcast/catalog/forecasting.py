@@ -1 +1,235 @@
-"""Placeholder."""
+"""Fitted models, back-test and future forecasts.
+
+Tree ensembles use few rounds here; the library defaults are those of a full run.
+"""
+
+from __future__ import annotations
+
+from pyspark.sql import functions as F
+
+from loomcast.catalog import inputs as t
+from loomcast.catalog.registry import query
+from loomcast.operators.models import fit_model, predictions
+from loomcast.operators.models.fourier import fit_fourier
+from loomcast.operators.models.smoothing import GRID, fit_smoothing
+from loomcast.operators.split import split_last
+from loomcast.plans.backtest import backtest
+from loomcast.plans.future import forecast_months, forecast_years, future_frame, seeded
+from loomcast.session import checkpoint
+from loomcast.spec import MONTHLY, YEARLY, candidates
+
+QUICK = {
+    "rf": {"rounds": 20, "depth": 6},
+    "xgb": {"rounds": 10, "depth": 4},
+    "lgb": {"rounds": 10, "depth": 4},
+}
+FIXED = (0.3, 0.1, 0.1)
+RESULT = ("product", "country", "year", "month", "step", "actual", "predicted")
+
+
+def frame_of(split):
+    return checkpoint(split.withColumn("t", MONTHLY.index()))
+
+
+def panel_frame(spark, folder):
+    return frame_of(split_last(t.dense(spark, folder), MONTHLY))
+
+
+def feature_frame(spark, folder):
+    return frame_of(split_last(t.monthly_features(spark, folder), MONTHLY))
+
+
+def holdout_of(fitted, frame, digits=4):
+    made = predictions(fitted, frame).filter((F.col("split") == "test") & F.col("predicted").isNotNull())
+    return t.rounded(made.select(*RESULT), digits, "predicted")
+
+
+def smoothing_sql(grid) -> str:
+    """Holt-Winters recursion over arrays, all parameter sets at once.
+
+    The queue ``q`` holds the season with the current phase in front.
+    """
+    sets = ", ".join(f"({i}, {a}::double, {b}::double, {g}::double)" for i, (a, b, g) in enumerate(grid))
+    return (
+        t._with(t.LOCATED, t.PANEL, t.GRID, t.TRAIN_TEST).replace("with ", "with recursive ", 1)
+        + f""", params(set_id, a, b, g) as (values {sets}),
+    series as (
+      select product, country, list(value order by year, month) filter (where split = 'train') as y
+      from held group by 1, 2),
+    started as (
+      select product, country, y, len(y) as n, list_avg(y[1:12]) as first_mean,
+             (list_avg(y[13:24]) - list_avg(y[1:12])) / 12 as slope
+      from series where len(y) >= 24),
+    smooth as (
+      select product, country, set_id, a, b, g, 12 as i, n, first_mean + slope * 11 / 2 as level, slope as trend,
+             list_transform(range(1, 13), lambda k: y[k] - (first_mean + slope * ((k - 1) - 5.5::double))) as q,
+             0.0::double as sse, y
+      from started, params
+      union all
+      select product, country, set_id, a, b, g, i + 1, n,
+             a * (y[i + 1] - q[1]) + (1 - a) * (level + trend),
+             b * (a * (y[i + 1] - q[1]) + (1 - a) * (level + trend) - level) + (1 - b) * trend,
+             list_append(q[2:12], g * (y[i + 1] - level - trend) + (1 - g) * q[1]),
+             sse + (y[i + 1] - (level + trend + q[1])) * (y[i + 1] - (level + trend + q[1])), y
+      from smooth where i < n),
+    best as (
+      select * from (
+        select *, row_number() over (partition by product, country order by sse, set_id) as place
+        from smooth where i = n) where place = 1)
+    select h.product, h.country, h.year, h.month, h.step, h.value as actual,
+           round(s.level + h.step * s.trend + s.q[(h.step - 1) % 12 + 1], 4) as predicted
+    from held h join best s using (product, country) where h.split = 'test'"""
+    )
+
+
+@query("holt_winters_fixed", smoothing_sql([FIXED]))
+def holt_winters_fixed(spark, folder):
+    frame = panel_frame(spark, folder)
+    fitted = fit_smoothing(frame, MONTHLY, grid=[FIXED])
+    fitted.parameters = fitted.parameters.filter("status = 'ok'")
+    return holdout_of(fitted, frame)
+
+
+@query("holt_winters_fit", smoothing_sql(GRID))
+def holt_winters_fit(spark, folder):
+    frame = panel_frame(spark, folder)
+    fitted = fit_smoothing(frame, MONTHLY)
+    fitted.parameters = fitted.parameters.filter("status = 'ok'")
+    return holdout_of(fitted, frame)
+
+
+# Least squares on trend, sine and cosine, one regressor after the other:
+# each is cleared of the earlier ones, then the measure of each in turn.
+ONE_HARMONIC = """,
+located_t as (select *, year * 12 + month - 1 as t from held),
+bounds as (
+  select product, country, min(t) as t0, max(t) as t1 from located_t where split = 'train' group by 1, 2),
+terms as (
+  select h.*, (t - t0) / cast(greatest(t1 - t0, 1) as double) as p,
+         sin(t * (2 * pi() / 12)) as s, cos(t * (2 * pi() / 12)) as c
+  from located_t h join bounds using (product, country)),
+means as (
+  select product, country, avg(value) as my, avg(p) as mp, avg(s) as ms, avg(c) as mc, count(*) as n,
+         regr_slope(s, p) as s_p, regr_slope(c, p) as c_p
+  from terms where split = 'train' group by 1, 2),
+step_one as (
+  select t.*, my, mp, ms, mc, s_p, c_p, n, p - mp as p1, s - ms - s_p * (p - mp) as s1, c - mc - c_p * (p - mp) as c1
+  from terms t join means using (product, country)),
+c_on_s as (
+  select product, country, sum(c1 * s1) / sum(s1 * s1) as c_s from step_one where split = 'train' group by 1, 2),
+cleared as (select o.*, c_s, c1 - c_s * s1 as c2 from step_one o join c_on_s using (product, country)),
+weights as (
+  select product, country, sum(value * p1) / sum(p1 * p1) as wp, sum(value * s1) / sum(s1 * s1) as ws,
+         sum(value * c2) / sum(c2 * c2) as wc
+  from cleared where split = 'train' group by 1, 2)
+select product, country, year, month, step, value as actual,
+       round(my + wp * p1 + ws * s1 + wc * c2, 3) as predicted
+from cleared join weights using (product, country) where split = 'test' and n >= 6
+"""
+
+
+@query("trend_one_harmonic", t._with(t.LOCATED, t.PANEL, t.GRID, t.TRAIN_TEST) + ONE_HARMONIC)
+def trend_one_harmonic(spark, folder):
+    """Trend and one harmonic without variables or ridge, so SQL can follow."""
+    frame = panel_frame(spark, folder)
+    fitted = fit_fourier(frame, MONTHLY, breaks=(), order=1, ridge=0.0)
+    fitted.parameters = fitted.parameters.filter("n >= 6")
+    return holdout_of(fitted, frame, 3)
+
+
+def model_query(name, model, history=True, **options):
+    @query(name)
+    def run(spark, folder):
+        frame = feature_frame(spark, folder)
+        names = candidates(frame, MONTHLY, history=history)
+        return holdout_of(fit_model(model, frame, MONTHLY, names, **options), frame)
+
+    return run
+
+
+def first_five(model):
+    """Model on its first five candidates, the default selection."""
+
+    def run(spark, folder):
+        from loomcast.operators.models.base import default_selection
+
+        frame = feature_frame(spark, folder)
+        names = candidates(frame, MONTHLY, history=False)
+        chosen = default_selection(frame, MONTHLY, names)
+        return holdout_of(fit_model(model, frame, MONTHLY, names, chosen), frame)
+
+    return run
+
+
+query("seasonal_arx")(first_five("sarimax"))
+query("trend_fourier")(first_five("prophet"))
+model_query("random_forest", "rf", **QUICK["rf"])
+model_query("gbt_deep", "xgb", **QUICK["xgb"])
+model_query("gbt_small", "lgb", **QUICK["lgb"])
+
+
+@query("backtest_metrics")
+def backtest_metrics(spark, folder):
+    result = backtest(t.monthly_features(spark, folder), MONTHLY, options=QUICK, importance_rounds=10)
+    return t.rounded(result.metrics, 6, "mae", "mse", "rmse", "mape", "mape_pct", "r2")
+
+
+@query("backtest_yearly_metrics")
+def backtest_yearly_metrics(spark, folder):
+    result = backtest(t.yearly_features(spark, folder), YEARLY, options=QUICK, importance_rounds=10)
+    return t.rounded(result.metrics, 6, "mae", "mse", "rmse", "mape", "mape_pct", "r2")
+
+
+SEEDED = f""",
+last_known as (
+  select product, country, arg_max(value, year * 12 + month) as seed
+  from dense where year < {t.CUTOFF} and value is not null group by 1, 2),
+united as (
+  select d.product, d.country, d.year, d.month, case when d.year < {t.CUTOFF} then d.value else seed end as value
+  from dense d join last_known using (product, country)),
+made as (
+  select *, lag(value, 3) over w as value_lag_3, lag(value, 12) over w as value_lag_12,
+         avg(value) over (partition by product, country order by year, month
+                          rows between 2 preceding and current row) as value_rollmean_3
+  from united window w as (partition by product, country order by year, month))
+select product, country, year, month, value,
+""" + ", ".join(
+    f"round(coalesce(last_value({c} ignore nulls) over (partition by product, country order by year, month "
+    f"rows between unbounded preceding and current row), first_value({c} ignore nulls) over (partition by "
+    f"product, country order by year, month rows between current row and unbounded following)), 7) as {c}"
+    for c in ("value_lag_3", "value_lag_12", "value_rollmean_3")
+) + " from made"
+
+
+@query("seeded_future_features", t.WITH_DENSE + SEEDED)
+def seeded_future_features(spark, folder):
+    """History features that run on into the horizon over seed forecasts."""
+    frame = checkpoint(future_frame(t.dense(spark, folder), MONTHLY, t.CUTOFF, t.LAST))
+    seeds = predictions(fit_model("naive", frame, MONTHLY), frame).filter(
+        (F.col("split") == "test") & F.col("predicted").isNotNull()
+    )
+    rows = seeded(frame, checkpoint(seeds), MONTHLY, lags=(3, 12), windows=(3,))
+    made = ("value_lag_3", "value_lag_12", "value_rollmean_3")
+    return t.rounded(rows.select("product", "country", "year", "month", "value", *made), 7, *made)
+
+
+def _metrics(features, spec, cutoff):
+    """Errors of the quick models on the years before the cut."""
+    past = features.filter(F.col("year") < cutoff)
+    return checkpoint(backtest(past, spec, options=QUICK, importance_rounds=10).metrics)
+
+
+@query("future_forecast_monthly")
+def future_forecast_monthly(spark, folder):
+    features = checkpoint(t.monthly_features(spark, folder))
+    made = forecast_months(features, _metrics(features, MONTHLY, t.CUTOFF), MONTHLY, t.CUTOFF, t.LAST, QUICK)
+    return t.rounded(made.forecasts, 4, "predicted")
+
+
+@query("future_forecast_yearly")
+def future_forecast_yearly(spark, folder):
+    features = checkpoint(t.yearly_features(spark, folder))
+    made = forecast_years(
+        features, _metrics(features, YEARLY, t.CUTOFF), YEARLY, t.CUTOFF, t.LAST, ("active_customers",), QUICK
+    )
+    return t.rounded(made.summary, 4, "forecast")

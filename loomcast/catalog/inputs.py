@@ -10,7 +10,13 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from loomcast.operators.grid import densify
-from loomcast.plans.prepare import features_monthly, features_yearly, master_monthly, master_yearly
+from loomcast.plans.prepare import (
+    features_monthly,
+    features_yearly,
+    indicator_table,
+    master_monthly,
+    master_yearly,
+)
 from loomcast.session import checkpoint
 from loomcast.spec import MONTHLY
 
@@ -23,8 +29,23 @@ UNSCALED = ("urgent_pct",)
 SCALED = ("active_customers", "avg_order_value", "urgent_customers")
 
 
+# Known column types spare one job per table that would only read file footers.
+SCHEMAS = {
+    "region": "r_regionkey int, r_name string",
+    "nation": "n_nationkey int, n_name string, n_regionkey int",
+    "customer": "c_custkey bigint, c_name string, c_nationkey int, c_acctbal double, c_mktsegment string",
+    "part": "p_partkey bigint, p_name string, p_brand string, p_type string, p_size int, p_retailprice double",
+    "orders": "o_orderkey bigint, o_custkey bigint, o_orderstatus string, o_totalprice double, "
+    "o_orderdate timestamp_ntz, o_orderpriority string",
+    "lineitem": "l_orderkey bigint, l_partkey bigint, l_suppkey bigint, l_linenumber int, l_quantity double, "
+    "l_extendedprice double, l_discount double, l_tax double, l_returnflag string, l_linestatus string, "
+    "l_shipdate timestamp_ntz",
+    "events": "event_id bigint, ts timestamp_ntz, user_id bigint, event_type string, value double, props string",
+}
+
+
 def table(spark: SparkSession, folder: str, name: str) -> DataFrame:
-    return spark.read.parquet(f"{folder}/{name}.parquet")
+    return spark.read.schema(SCHEMAS[name]).parquet(f"{folder}/{name}.parquet")
 
 
 def located_orders(spark: SparkSession, folder: str) -> DataFrame:
@@ -41,7 +62,7 @@ def located_orders(spark: SparkSession, folder: str) -> DataFrame:
     )
     return (
         table(spark, folder, "orders")
-        .filter(F.col("o_orderdate") < F.lit(COMPLETE_BEFORE).cast("timestamp"))
+        .filter(F.col("o_orderdate") < F.lit(COMPLETE_BEFORE).cast("timestamp_ntz"))
         .join(customers, F.col("o_custkey") == F.col("c_custkey"))
         .withColumn("year", F.year("o_orderdate"))
         .withColumn("month", F.month("o_orderdate"))
@@ -244,3 +265,11 @@ def rounded(df: DataFrame, digits: int, *columns: str) -> DataFrame:
 
 def round_sql(digits: int, *columns: str) -> str:
     return ", ".join(f"round({c}, {digits}) as {c}" for c in columns)
+
+
+def indicator_rows(spark: SparkSession, folder: str) -> DataFrame:
+    """Filled and scaled indicators per region and year."""
+    regions = table(spark, folder, "region").select(F.col("r_name").alias("country"))
+    return indicator_table(
+        regions, indicator_tables(spark, folder), FIRST, LAST, DERIVED, UNSCALED
+    )

@@ -43,8 +43,9 @@ def selection_table(
 
 
 def with_fallback(forecasts: DataFrame, naive: DataFrame, spec: PanelSpec) -> DataFrame:
-    """Where a model has no prediction, repeat the last value and say so."""
-    backup = naive.select(*spec.cell, F.col("predicted").alias("_last"))
+    """Where a model has no prediction for a test row, repeat the last value
+    and say so in ``status``."""
+    backup = naive.filter(F.col("split") == "test").select(*spec.cell, F.col("predicted").alias("_last"))
     missing = F.col("predicted").isNull() & F.col("_last").isNotNull()
     return (
         forecasts.join(backup, list(spec.cell), "left")
@@ -62,14 +63,18 @@ def backtest(
     holdout: int | None = None,
     top: int = 3,
     importance_rounds: int = 100,
+    fallback: bool | None = None,
 ) -> Backtest:
     """Six models on the last observed periods of every series.
 
     The prepared rows, the chosen variables and the forecasts each feed several
     later steps and are materialised once. ``options`` passes settings to single
-    models, e.g. ``{'xgb': {'rounds': 20}}``.
+    models, e.g. ``{'xgb': {'rounds': 20}}``. With ``fallback`` (the rule for
+    yearly panels) a model that fails on a series repeats its last value;
+    without, it has no rows there.
     """
     options = options or {}
+    fallback = not spec.monthly if fallback is None else fallback
     split = split_last(features.dropna(subset=list(spec.keys)), spec, holdout)
     frame = checkpoint(split.withColumn("t", spec.index()))
     names, arima_names = candidates(frame, spec), candidates(frame, spec, history=False)
@@ -83,8 +88,10 @@ def backtest(
         chosen = selection.filter(F.col("model") == model)
         fitted = fit_model(model, frame, spec, used, chosen, **options.get(model, {}))
         made.append(predictions(fitted, frame).filter(F.col("split") == "test"))
-    naive = predictions(fit_model("naive", frame, spec), frame)
-    single = checkpoint(with_fallback(stack(made), naive, spec))
+    both = stack(made)
+    if fallback:
+        both = with_fallback(both, predictions(fit_model("naive", frame, spec), frame), spec)
+    single = checkpoint(both.filter(F.col("predicted").isNotNull()))
     ranking = rank_models(model_metrics(single, spec), spec, top)
     joint = combine(single, ranking, spec, extra=("t", "date", "split", "step"))
     forecasts = stack([single, joint.withColumn("status", F.lit("ok"))])

@@ -15,6 +15,7 @@ from loomcast.operators.models.registry import PRIORITY
 from loomcast.operators.ranking import combine, forecast_summary, rank_models, yearly_summary
 from loomcast.operators.reshape import columns_to_variables, stack
 from loomcast.operators.split import split_at
+from loomcast.plans.backtest import with_fallback
 from loomcast.session import checkpoint
 from loomcast.spec import (
     LAG,
@@ -90,8 +91,12 @@ def refit(
     spec: PanelSpec,
     names: Mapping[str, Sequence[str]],
     options: Mapping[str, Mapping] | None = None,
+    fallback: bool = False,
 ) -> DataFrame:
-    """Fit each ranked model on the series where it ranks; predict all rows."""
+    """Fit each ranked model on the series where it ranks; predict all rows.
+
+    With ``fallback`` a horizon that a model cannot predict repeats the last value.
+    """
     options = options or {}
     made = []
     for model in PRIORITY:
@@ -101,7 +106,10 @@ def refit(
             continue
         fitted = fit_model(model, rows, spec, names[model], members, **options.get(model, {}))
         made.append(predictions(fitted, rows))
-    both = stack(made).filter(F.col("predicted").isNotNull())
+    both = stack(made)
+    if fallback:
+        both = with_fallback(both, predictions(fit_model("naive", frame, spec), frame), spec)
+    both = both.filter(F.col("predicted").isNotNull())
     hidden = F.when(F.col("split") == "train", F.col("actual"))
     return both.withColumn("actual", hidden)
 
@@ -158,7 +166,7 @@ def forecast_years(
     per_model = {m: future_candidates(rows, m, raw_indicators) for m in PRIORITY}
     registry = checkpoint(_fixed_variables(top_models(metrics, spec, []), per_model))
     wide = {m: {"slots": len(per_model[m]), **options.get(m, {})} for m in ("sarimax", "prophet")}
-    single = checkpoint(refit(rows, registry, spec, per_model, {**options, **wide}))
+    single = checkpoint(refit(rows, registry, spec, per_model, {**options, **wide}, fallback=True))
     horizon = single.filter(F.col("split") == "test")
     joint = combine(horizon, registry, spec, extra=("t", "date", "split", "step"))
     return Future(_assemble(single, joint), yearly_summary(horizon, registry, spec))

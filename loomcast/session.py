@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import os
 import tempfile
+import uuid
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -23,20 +24,33 @@ def local_session(cores: int | str = 8, name: str = "loomcast") -> SparkSession:
     )
 
 
+def shared_folder(spark: SparkSession) -> str:
+    """Folder for intermediate tables: the one named in ``spark.checkpoint.dir``.
+
+    Only a local session that names none gets a folder of its own, since a
+    machine-local folder would be lost with its executor on a cluster.
+    """
+    context = spark.sparkContext
+    folder = (
+        spark.conf.get("spark.checkpoint.dir", None)
+        or context.getConf().get("spark.checkpoint.dir")
+        or context.getCheckpointDir()
+    )
+    if folder is None:
+        if not context.master.startswith("local"):
+            raise RuntimeError("set spark.checkpoint.dir to a folder that all executors share")
+        context.setCheckpointDir(tempfile.mkdtemp(prefix="run-"))
+        folder = context.getCheckpointDir()
+    return folder
+
+
 def checkpoint(df: DataFrame) -> DataFrame:
-    """Materialise ``df`` in the shared checkpoint folder and cut its lineage.
+    """Write ``df`` as a table in the shared folder and read it back.
 
     Used at the boundaries between stages where one result feeds several
-    others. The folder is the one the cluster names in ``spark.checkpoint.dir``;
-    only a local session without that setting gets a folder of its own.
+    others: the lineage ends there, a lost executor costs no recomputation, and
+    readers still prune columns and see real sizes for their join strategy.
     """
-    spark = df.sparkSession
-    context = spark.sparkContext
-    if context.getCheckpointDir() is None:
-        folder = context.getConf().get("spark.checkpoint.dir") or spark.conf.get("spark.checkpoint.dir", None)
-        if folder is None:
-            if not context.master.startswith("local"):
-                raise RuntimeError("set spark.checkpoint.dir to a folder that all executors share")
-            folder = tempfile.mkdtemp(prefix="run-")
-        context.setCheckpointDir(folder)
-    return df.checkpoint(eager=True)
+    path = f"{shared_folder(df.sparkSession)}/{uuid.uuid4().hex}"
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)
