@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 from loomcast.catalog import inputs as t
 from loomcast.catalog.registry import query
 from loomcast.operators.models import fit_model, predictions
+from loomcast.operators.models.base import default_selection
 from loomcast.operators.models.fourier import fit_fourier
 from loomcast.operators.models.smoothing import GRID, fit_smoothing
 from loomcast.operators.split import split_last
@@ -19,9 +20,9 @@ from loomcast.session import checkpoint
 from loomcast.spec import MONTHLY, YEARLY, candidates
 
 QUICK = {
-    "rf": {"rounds": 20, "depth": 6},
-    "xgb": {"rounds": 10, "depth": 4},
-    "lgb": {"rounds": 10, "depth": 4},
+    "rf": {"rounds": 10, "depth": 5},
+    "xgb": {"rounds": 5, "depth": 3},
+    "lgb": {"rounds": 5, "depth": 3},
 }
 FIXED = (0.3, 0.1, 0.1)
 RESULT = ("product", "country", "year", "month", "step", "actual", "predicted")
@@ -151,8 +152,6 @@ def first_five(model):
     """Model on its first five candidates, the default selection."""
 
     def run(spark, folder):
-        from loomcast.operators.models.base import default_selection
-
         frame = feature_frame(spark, folder)
         names = candidates(frame, MONTHLY, history=False)
         chosen = default_selection(frame, MONTHLY, names)
