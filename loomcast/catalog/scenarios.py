@@ -50,10 +50,6 @@ def split_years(spark, folder):
     return split_at(t.yearly_features(spark, folder), YEARLY, t.CUTOFF, t.LAST)
 
 
-def horizon(spark, folder):
-    return checkpoint(split_years(spark, folder).filter(F.col("split") == "test"))
-
-
 def _values() -> str:
     listed = [(v, "percent", s, f"{s}%") for v in PERCENT for s in PERCENT_SHIFTS]
     listed += [(v, "point", s, f"{s:+} points") for v in POINT for s in POINT_SHIFTS]
@@ -112,9 +108,12 @@ def _kind_sql(kind: str) -> str:
 
 
 def scored(spark, folder, percent=(), point=(), scaled=()):
-    statistics = panel_statistics(t.indicator_rows(spark, folder), t.SCALED)
+    indicators = checkpoint(t.indicator_rows(spark, folder))
+    features = t.yearly_features_with(indicators, spark, folder)
+    future = split_at(features, YEARLY, t.CUTOFF, t.LAST).filter(F.col("split") == "test")
     scenarios = scenario_list(percent, point, scaled)
-    return score_scenarios(horizon(spark, folder), YEARLY, scenarios, scorer, statistics)
+    statistics = panel_statistics(indicators, t.SCALED)
+    return score_scenarios(checkpoint(future), YEARLY, scenarios, scorer, statistics)
 
 
 def shown(table):
@@ -271,7 +270,8 @@ def attribution_trees(spark, folder):
 
 @query("scenarios_of_top_models")
 def scenarios_of_top_models(spark, folder):
-    features = checkpoint(t.yearly_features(spark, folder))
+    indicators = checkpoint(t.indicator_rows(spark, folder))
+    features = checkpoint(t.yearly_features_with(indicators, spark, folder))
     made = analyse(
         features,
         _metrics(features, YEARLY, t.CUTOFF),
@@ -279,7 +279,7 @@ def scenarios_of_top_models(spark, folder):
         t.CUTOFF,
         t.LAST,
         scenario_list(PERCENT, POINT, NORM),
-        panel_statistics(t.indicator_rows(spark, folder), t.SCALED),
+        panel_statistics(indicators, t.SCALED),
         QUICK,
     )
     return t.rounded(made.scenarios, 4, "forecast", "scenario_forecast")

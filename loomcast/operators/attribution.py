@@ -12,6 +12,7 @@ from pyspark.sql import functions as F
 
 from loomcast.operators.models.base import Fitted
 from loomcast.operators.models.trees import TreeModel
+from loomcast.operators.reshape import literal_rows
 from loomcast.spec import PanelSpec
 
 EXACT_UP_TO = 8  # variables; beyond that 2**k coalitions per row are too many
@@ -58,20 +59,15 @@ def tree_attribution(model: TreeModel, rows: DataFrame, extra: Sequence[str] = (
     """
     spec, names = model.spec, model.names
     design = coalitions(len(names))
-    entries = [
-        F.struct(
-            F.array(*[F.lit(m) for m in members]).alias("members"),
-            F.array(*[F.lit(float(w)) for w in weight]).alias("weights"),
-        )
-        for members, weight in design
-    ]
+    listed = [{"members": members, "weights": weights} for members, weights in design]
+    coalition = literal_rows(listed, "members: array<boolean>, weights: array<double>")
     inputs = model.inputs(rows)
     train = F.col("split") == "train"
     for n in names:
         usual = F.avg(F.when(train, F.col(f"in_{n}"))).over(spec.series())
         inputs = inputs.withColumn(f"usual_{n}", usual)
     complete = inputs.dropna(subset=[f"in_{n}" for n in names] + [f"usual_{n}" for n in names])
-    hybrids = complete.withColumn("coalition", F.explode(F.array(*entries))).withColumns(
+    hybrids = complete.withColumn("coalition", F.explode(coalition)).withColumns(
         {
             f"in_{n}": F.when(F.element_at("coalition.members", i + 1), F.col(f"in_{n}")).otherwise(
                 F.col(f"usual_{n}")

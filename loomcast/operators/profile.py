@@ -8,6 +8,8 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from loomcast.session import checkpoint
+
 
 def missing_report(df: DataFrame, table: str) -> DataFrame:
     """Rows, nulls and share of nulls per column, from one aggregate."""
@@ -33,39 +35,40 @@ def value_counts(df: DataFrame, columns: Sequence[str]) -> DataFrame:
     """(column_name, text, x, n): every distinct value of every column, counted.
 
     Counting combines before the shuffle, so a value that fills a third of the
-    table arrives as a handful of rows.
+    table arrives as a handful of rows. Floating-point columns have no ``text``,
+    other than numeric columns no ``x``.
     """
-    numbers = {f.name for f in df.schema.fields if isinstance(f.dataType, T.NumericType)}
-    entries = [
-        F.struct(
-            F.lit(c).alias("column_name"),
-            F.col(c).cast("string").alias("text"),
-            (F.col(c).cast("double") if c in numbers else F.lit(None).cast("double")).alias("x"),
+    kinds = {f.name: f.dataType for f in df.schema.fields}
+    entries = []
+    for c in columns:
+        floating = isinstance(kinds[c], T.FractionalType) and not isinstance(kinds[c], T.DecimalType)
+        text = F.lit(None) if floating else F.col(c)
+        x = F.col(c) if isinstance(kinds[c], T.NumericType) else F.lit(None)
+        entries.append(
+            F.struct(
+                F.lit(c).alias("column_name"), text.cast("string").alias("text"), x.cast("double").alias("x")
+            )
         )
-        for c in columns
-    ]
     return (
         df.select(F.inline(F.array(*entries)))
-        .filter(F.col("text").isNotNull())
+        .filter(F.col("text").isNotNull() | F.col("x").isNotNull())
         .groupBy("column_name", "text", "x")
         .agg(F.count(F.lit(1)).alias("n"))
     )
 
 
-def quantiles(counts: DataFrame, probabilities: Sequence[float], pieces: int = 128) -> DataFrame:
+def quantiles(counts: DataFrame, probabilities: Sequence[float], pieces: int | None = None) -> DataFrame:
     """Exact quantiles (linear interpolation) of counted values per column.
 
-    Approximate split points cut each column into pieces of similar size, whose
+    The distinct values are range-partitioned into pieces of similar size, whose
     totals tell which pieces hold a wanted rank. Only those are ranked, each by
-    itself, so no task ever holds or sorts a whole column; raise ``pieces`` with
-    the number of distinct values. The broadcast tables have one row per column
-    and at most ``pieces`` rows per column.
+    itself, so no task ever holds or sorts a whole column. The table that is
+    broadcast has at most one row per column and piece.
     """
+    pieces = pieces or int(counts.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     numbers = counts.filter(F.col("x").isNotNull()).groupBy("column_name", "x").agg(F.sum("n").alias("n"))
-    steps = [i / pieces for i in range(1, pieces)]
-    splits = numbers.groupBy("column_name").agg(F.percentile_approx("x", steps, 10 * pieces).alias("splits"))
-    placed = numbers.join(F.broadcast(splits), "column_name").withColumn(
-        "piece", F.size(F.filter("splits", lambda s: s <= F.col("x")))
+    placed = checkpoint(
+        numbers.repartitionByRange(pieces, "column_name", "x").withColumn("piece", F.spark_partition_id())
     )
     totals = placed.groupBy("column_name", "piece").agg(F.sum("n").alias("n_piece"))
     before = Window.partitionBy("column_name").orderBy("piece").rowsBetween(Window.unboundedPreceding, -1)
@@ -84,9 +87,9 @@ def quantiles(counts: DataFrame, probabilities: Sequence[float], pieces: int = 1
         Window.partitionBy("column_name", "piece").orderBy("x").rowsBetween(Window.unboundedPreceding, 0)
     )
     ranked = (
-        placed.drop("splits")
-        .join(F.broadcast(offsets.filter(wanted)), ["column_name", "piece"])
-        .withColumn("upto", F.col("skip") + F.sum("n").over(inside))
+        placed.join(F.broadcast(offsets.filter(wanted)), ["column_name", "piece"]).withColumn(
+            "upto", F.col("skip") + F.sum("n").over(inside)
+        )
     )
 
     def at(rank):
@@ -111,15 +114,16 @@ def quantiles(counts: DataFrame, probabilities: Sequence[float], pieces: int = 1
 def describe(df: DataFrame, columns: Sequence[str]) -> DataFrame:
     """Count, distinct values, most frequent value, moments, range and quartiles.
 
-    Everything derives from the counted values. The means that are broadcast
-    are one row per described column.
+    Everything derives from the counted values, which are materialised because
+    four steps read them. The means that are broadcast are one row per column.
     """
-    counts = value_counts(df, columns)
+    counts = checkpoint(value_counts(df, columns))
+    shown = F.coalesce(F.col("text"), F.col("x").cast("string")).alias("text")
     weight = F.col("n").cast("double")
     basics = counts.groupBy("column_name").agg(
         F.sum("n").alias("n"),
         F.count(F.lit(1)).alias("n_unique"),
-        F.max(F.struct("n", "text")).alias("best"),
+        F.max(F.struct(F.col("n"), shown)).alias("best"),
         F.max("n").alias("freq"),
         F.sum(F.when(F.col("x").isNotNull(), weight)).alias("w"),
         F.sum(weight * F.col("x")).alias("wx"),

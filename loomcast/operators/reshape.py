@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import json
 from collections.abc import Sequence
 from functools import reduce
 
@@ -45,6 +46,11 @@ def clean_numbers(df: DataFrame, columns: Sequence[str]) -> DataFrame:
     return df.withColumns({c: parse_number(F.col(c)) for c in columns})
 
 
+def literal_rows(rows: Sequence[dict], schema: str) -> Column:
+    """A short fixed list of records as an array column, to be exploded."""
+    return F.from_json(F.lit(json.dumps(list(rows))), f"array<struct<{schema}>>")
+
+
 def stack(frames: Sequence[DataFrame]) -> DataFrame:
     """Row union by column name; a column that a frame lacks is null there."""
     return reduce(lambda a, b: a.unionByName(b, allowMissingColumns=True), frames)

@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 
 from loomcast.operators.integrate import scaling_statistics
 from loomcast.operators.ranking import spread_columns
+from loomcast.operators.reshape import literal_rows
 from loomcast.spec import PanelSpec
 
 # The shifts of the three kinds of scenario.
@@ -41,16 +42,12 @@ def scenario_list(
 
 def expand(rows: DataFrame, scenarios: Sequence[Scenario]) -> DataFrame:
     """Repeat every row once per scenario; the list travels inside the plan."""
-    entries = [
-        F.struct(
-            F.lit(s.variable).alias("testing_column"),
-            F.lit(s.kind).alias("kind"),
-            F.lit(float(s.shift)).alias("shift"),
-            F.lit(s.label).alias("scenario"),
-        )
+    listed = [
+        {"testing_column": s.variable, "kind": s.kind, "shift": float(s.shift), "scenario": s.label}
         for s in scenarios
     ]
-    return rows.select("*", F.inline(F.array(*entries)))
+    schema = "testing_column: string, kind: string, shift: double, scenario: string"
+    return rows.select("*", F.inline(literal_rows(listed, schema)))
 
 
 def shifted(variable: str) -> Column:

@@ -19,6 +19,7 @@ def local_session(cores: int | str = 8, name: str = "loomcast") -> SparkSession:
         .config("spark.sql.shuffle.partitions", str(cores) if str(cores).isdigit() else "8")
         .config("spark.sql.session.timeZone", "UTC")
         .config("spark.sql.adaptive.enabled", "true")
+        .config("spark.sql.files.openCostInBytes", "1m")  # small files: a task per row group
         .config("spark.sql.execution.arrow.pyspark.enabled", "true")
         .getOrCreate()
     )
