@@ -2,9 +2,12 @@
 
 from __future__ import annotations
 
+from pyspark.sql import functions as F
+
 from loomcast.catalog import inputs as t
 from loomcast.catalog.registry import query
 from loomcast.operators.features import add_calendar_features, add_history_features
+from loomcast.plans.prepare import yearly_from_monthly
 from loomcast.spec import MONTHLY
 
 LAGS = ("value_lag_3", "value_lag_6", "value_lag_12")
@@ -97,3 +100,19 @@ def bad_row_filter(spark, folder):
 def yearly_feature_table(spark, folder):
     made = t.yearly_features(spark, folder).select("product", "country", "year", "value", "value_lag_1")
     return t.rounded(made, 4, "value", "value_lag_1")
+
+
+@query(
+    "yearly_history_from_text",
+    t.WITH_DENSE
+    + """, yearly as (select product, country, year, sum(floor(value)) as value from dense group by 1, 2, 3)
+      select product, country, year, value,
+        lag(value) over (partition by product, country order by year) as value_lag_1,
+        avg(value) over (partition by product, country order by year rows between 1 preceding and current row)
+          as value_rollmean_2
+      from yearly""",
+)
+def yearly_history_from_text(spark, folder):
+    """A monthly table whose measure is text such as '$1,234', rolled up to years."""
+    text = F.concat(F.lit("$"), F.format_number(F.floor("value"), 0))
+    return yearly_from_monthly(t.dense(spark, folder).withColumn("value", text))

@@ -16,6 +16,7 @@ from loomcast.operators.selection import (
     mutual_information,
     tree_importance,
     varying,
+    without_gaps,
 )
 from loomcast.operators.split import split_last
 from loomcast.session import checkpoint
@@ -135,6 +136,38 @@ def select_first_five(spark, folder):
     return listed(choose(varying(long, MONTHLY), None, MONTHLY))
 
 
+def _gaps_sql(rule: str) -> str:
+    names = ("value", *t.ALL_INDICATORS)
+    gone = ", ".join(f"case when {rule}({n} is null) then '{n}' end" for n in names)
+    listed = ", ".join(f"'{n}'" for n in names)
+    return (
+        t.WITH_MASTER
+        + f""", gaps as (select product, country, [{gone}] as gone from master group by 1, 2)
+        select product, country,
+          array_to_string(list_filter([{listed}], lambda v: not coalesce(list_contains(gone, v), false)), ',')
+            as exo_vars
+        from gaps"""
+    )
+
+
+def _without_gaps(spark, folder, rule):
+    names = ["value", *t.ALL_INDICATORS]
+    rows = checkpoint(t.master(spark, folder))
+    everything = F.array(*[F.lit(n) for n in names])
+    selection = rows.select(*MONTHLY.keys).distinct().withColumn("exo_vars", everything)
+    return listed(without_gaps(selection, rows, MONTHLY, names, rule))
+
+
+@query("select_without_any_gap", _gaps_sql("bool_or"))
+def select_without_any_gap(spark, folder):
+    return _without_gaps(spark, folder, "any")
+
+
+@query("select_with_some_value", _gaps_sql("bool_and"))
+def select_with_some_value(spark, folder):
+    return _without_gaps(spark, folder, "all")
+
+
 # One lag in closed form: residuals of y and of x1 on y1 first, then y on x1.
 ONE_LAG = """,
 paired as (

@@ -14,16 +14,27 @@ def distinct_keys(df: DataFrame, *columns: str) -> DataFrame:
     return df.select(*columns).dropna().distinct()
 
 
-def pair_keys(left: DataFrame, right: DataFrame, buckets: int = 32) -> DataFrame:
-    """Every combination of two key sets, as an equi-join on a bucket number.
+def pair_keys(
+    left: DataFrame, right: DataFrame, left_parts: int | None = None, right_parts: int = 4
+) -> DataFrame:
+    """Every combination of two key sets, as an equi-join on a pair of buckets.
 
-    A grid has one row per combination by definition. The right keys are spread
-    over the buckets and each left key visits every bucket once, so the work is
-    shared evenly between tasks and neither side has to fit into one of them.
+    A grid has one row per combination by definition. Both key sets are hashed
+    into buckets, and a row visits the buckets of the other side, so that each
+    combination meets in exactly one of left x right buckets: the work spreads
+    evenly and neither side has to fit into one task.
     """
-    visits = left.withColumn("bucket", F.explode(F.sequence(F.lit(0), F.lit(buckets - 1))))
-    spread = right.withColumn("bucket", F.pmod(F.xxhash64(*right.columns), F.lit(buckets)).cast("int"))
-    return visits.join(spread, "bucket").drop("bucket")
+    left_parts = left_parts or int(left.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+
+    def home(df, parts):
+        return F.pmod(F.xxhash64(*df.columns), F.lit(parts)).cast("int")
+
+    def all_of(parts):
+        return F.explode(F.sequence(F.lit(0), F.lit(parts - 1)))
+
+    a = left.withColumn("_l", home(left, left_parts)).withColumn("_r", all_of(right_parts))
+    b = right.withColumn("_r", home(right, right_parts)).withColumn("_l", all_of(left_parts))
+    return a.join(b, ["_l", "_r"]).drop("_l", "_r")
 
 
 def add_calendar(keys: DataFrame, first: int, last: int, monthly: bool = True) -> DataFrame:

@@ -219,6 +219,28 @@ def choose(
     )
 
 
+def without_gaps(
+    selection: DataFrame, rows: DataFrame, spec: PanelSpec, names: Sequence[str], rule: str = "any"
+) -> DataFrame:
+    """Remove variables a series has no values for from its selection.
+
+    ``rule='any'`` removes a variable with a single missing value among the
+    rows of the series, ``'all'`` one without any value.
+    """
+    if not names:
+        return selection
+    spoilt = F.bool_or if rule == "any" else F.bool_and
+    gaps = F.array(*[F.when(spoilt(F.col(n).isNull()), F.lit(n)) for n in names])
+    unusable = rows.groupBy(*spec.keys).agg(F.array_compact(gaps).alias("gaps"))
+    return (
+        selection.join(unusable, list(spec.keys), "left")
+        .withColumn(
+            "exo_vars", F.array_except("exo_vars", F.coalesce("gaps", F.array().cast("array<string>")))
+        )
+        .drop("gaps")
+    )
+
+
 def select_variables(
     train: DataFrame,
     spec: PanelSpec,

@@ -14,6 +14,7 @@ from loomcast.operators.models import fit_model, predictions
 from loomcast.operators.models.registry import PRIORITY
 from loomcast.operators.ranking import combine, forecast_summary, rank_models, yearly_summary
 from loomcast.operators.reshape import columns_to_variables, stack
+from loomcast.operators.selection import without_gaps
 from loomcast.operators.split import split_at
 from loomcast.plans.backtest import with_fallback
 from loomcast.session import checkpoint
@@ -95,7 +96,8 @@ def refit(
 ) -> DataFrame:
     """Fit each ranked model on the series where it ranks; predict all rows.
 
-    With ``fallback`` a horizon that a model cannot predict repeats the last value.
+    The linear models leave out variables that are not known throughout. With
+    ``fallback`` a horizon that a model cannot predict repeats the last value.
     """
     options = options or {}
     made = []
@@ -104,6 +106,8 @@ def refit(
         rows = frame.join(members.select(*spec.keys), list(spec.keys), "left_semi")
         if members.isEmpty():
             continue
+        if model in ("sarimax", "prophet"):
+            members = without_gaps(members, rows, spec, names[model])
         fitted = fit_model(model, rows, spec, names[model], members, **options.get(model, {}))
         made.append(predictions(fitted, rows))
     both = stack(made)

@@ -6,6 +6,7 @@ from collections.abc import Mapping, Sequence
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from loomcast.operators.features import (
     add_calendar_features,
@@ -15,9 +16,9 @@ from loomcast.operators.features import (
 )
 from loomcast.operators.grid import add_calendar, attach_measures, distinct_keys
 from loomcast.operators.integrate import fill_gaps, fold_indicators, roll_up_years, scale, share_of
-from loomcast.operators.reshape import columns_first
+from loomcast.operators.reshape import clean_numbers, columns_first
 from loomcast.session import checkpoint
-from loomcast.spec import MONTHLY, YEARLY, PanelSpec
+from loomcast.spec import MONTHLY, YEARLY, PanelSpec, drop_history_features
 
 
 def indicator_table(
@@ -89,3 +90,19 @@ def features_yearly(master: DataFrame, spec: PanelSpec = YEARLY) -> DataFrame:
     """Last year's measure; rows with a measure must have it."""
     made = add_history_features(master, spec, lags=(1,), windows=())
     return drop_incomplete(made, spec, [f"{spec.value}_lag_1"])
+
+
+def yearly_from_monthly(monthly: DataFrame, spec: PanelSpec = MONTHLY, yearly: PanelSpec = YEARLY) -> DataFrame:
+    """Yearly training table straight from a monthly one that may hold text.
+
+    Text columns are read as numbers, monthly history features are dropped, and
+    the yearly panel gets its own lag and rolling mean.
+    """
+    labels = {"country_actual"}
+    text = [
+        f.name
+        for f in monthly.schema.fields
+        if isinstance(f.dataType, T.StringType) and f.name not in {*spec.keys, *labels}
+    ]
+    plain = drop_history_features(clean_numbers(monthly, text))
+    return add_history_features(master_yearly(plain.drop(*labels), spec), yearly)

@@ -20,8 +20,9 @@ from loomcast.operators.scenario import (
     scenario_summary,
     score_scenarios,
 )
-from loomcast.plans.future import top_models
+from loomcast.operators.selection import without_gaps
 from loomcast.operators.split import split_at
+from loomcast.plans.future import top_models
 from loomcast.session import checkpoint
 from loomcast.spec import SCALED, PanelSpec, matching
 
@@ -57,6 +58,8 @@ def analyse(
     made = []
     for model in PRIORITY:
         members = registry.filter(F.col("model") == model)
+        if model in ("sarimax", "prophet"):
+            members = without_gaps(members, frame, spec, names, "all")
         if model != "exp_smoothing":
             members = members.filter(F.size("exo_vars") > 0)
         rows = frame.join(members.select(*spec.keys), list(spec.keys), "left_semi")

@@ -2,7 +2,6 @@
 
 from __future__ import annotations
 
-from pyspark.ml.util import MLWritable
 from pyspark.sql import DataFrame, SparkSession
 
 
@@ -30,12 +29,3 @@ def write_by_series(
     gets few files; forecasts and metrics have at most a calendar of rows each.
     """
     write_table(df.repartition(*by), path, form, by)
-
-
-def save_fitted(fitted, path: str) -> None:
-    """Persist what a model learned: a parameter table and, for pooled trees,
-    the forest in Spark's own format."""
-    write_table(fitted.parameters, f"{path}/parameters")
-    forest = getattr(fitted, "forest", None)
-    if isinstance(forest, MLWritable):
-        forest.write().overwrite().save(f"{path}/forest")

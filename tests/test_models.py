@@ -9,8 +9,8 @@ from loomcast.operators.models import MODELS, fit_model, predictions
 from loomcast.operators.models.base import default_selection
 from loomcast.operators.models.leastsq import fit_groups, solve_centred
 from loomcast.operators.models.smoothing import smooth
+from loomcast.operators.models.storage import load_fitted, save_fitted
 from loomcast.operators.split import split_last
-from loomcast.sources.tables import read_table, save_fitted
 
 SEASON = [0, 3, -2, 5, 1, -4, 2, 0, -1, 6, -5, -5]
 
@@ -109,15 +109,24 @@ def test_copies_and_constants_stay_solvable():
     assert beta[3] == 0 and beta[1] + beta[2] == pytest.approx(2, abs=1e-4)
 
 
-def test_pooled_trees_beat_the_mean_and_persist(spark, frame, tmp_path):
+def test_pooled_trees_learn_and_persist(spark, frame, tmp_path):
     rows = frame.withColumn("value_lag_1", F.lag("value").over(MONTHLY.ordered()))
     for model, options in (("rf", {"rounds": 8, "depth": 4}), ("lgb", {"rounds": 4, "depth": 3})):
         fitted = fit_model(model, rows, MONTHLY, ["value_lag_1", "x_norm"], **options)
         made = predictions(fitted, rows).filter("product = 'clean-1' and split = 'test'")
         assert made.select(F.avg(F.abs(F.col("actual") - F.col("predicted")))).first()[0] < 30
+        save_fitted(fitted, str(tmp_path / model))
+        again = predictions(load_fitted(spark, str(tmp_path / model), MONTHLY), rows)
+        assert again.exceptAll(predictions(fitted, rows)).count() == 0 and again.count() == rows.count()
+
+
+@pytest.mark.parametrize("model", ["exp_smoothing", "prophet"])
+def test_saved_models_predict_the_same(spark, frame, tmp_path, model):
+    fitted = fit_model(model, frame, MONTHLY, ["x_norm"], default_selection(frame, MONTHLY, ["x_norm"]))
     save_fitted(fitted, str(tmp_path / "m"))
-    assert {"scale", "trait_level"} <= set(read_table(spark, str(tmp_path / "m/parameters")).columns)
-    assert (tmp_path / "m/forest").exists()
+    again = load_fitted(spark, str(tmp_path / "m"), MONTHLY)
+    assert (again.name, again.baseline) == (fitted.name, fitted.baseline)
+    assert predictions(again, frame).exceptAll(predictions(fitted, frame)).count() == 0
 
 
 def test_incomplete_inputs_give_null_and_empty_training_gives_no_forest(frame):

@@ -35,7 +35,7 @@ def test_unpivot_takes_only_years_in_range(spark):
 
 def test_grid_has_every_combination_once(make, monthly):
     left, right = make("p string", [(f"p{i}",) for i in range(7)]), make("c string", [(f"c{i}",) for i in range(9)])
-    pairs = pair_keys(left, right, buckets=4)
+    pairs = pair_keys(left, right, 5, 3)
     assert pairs.count() == pairs.distinct().count() == 63
     assert "CartesianProduct" not in plan_of(pairs) and "NestedLoop" not in plan_of(pairs)
     seen = monthly({("a-b", "X"): [1.0], ("c", "Y Z"): [2.0, 3.0], ("d", None): [4.0]})

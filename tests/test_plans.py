@@ -10,6 +10,7 @@ from loomcast.operators.features import add_calendar_features, add_history_featu
 from loomcast.operators.scenario import panel_statistics, scenario_list
 from loomcast.plans.backtest import backtest
 from loomcast.plans.future import forecast_months, forecast_years, future_frame, seed_forecasts, seeded, top_models
+from loomcast.plans.outputs import save_backtest, save_future, save_panel, save_scenarios
 from loomcast.plans.prepare import features_monthly, features_yearly
 from loomcast.plans.whatif import analyse
 from loomcast.session import checkpoint
@@ -56,6 +57,15 @@ def test_backtest_tables(result):
     assert str(result.forecasts.agg(F.min("date")).first()[0]) == "2017-01-01"
 
 
+def test_saved_results(spark, result, features, tmp_path):
+    save_backtest(result, str(tmp_path), per_series=True)
+    assert spark.read.parquet(str(tmp_path / "all_metrics")).count() == 21
+    assert len(list((tmp_path / "metrics").rglob("*.json"))) == 21
+    assert (tmp_path / "predictions" / "model=exp_smoothing" / "product=a-b" / "country=New Land").exists()
+    save_panel(features, features, str(tmp_path), "monthly")
+    assert (tmp_path / "feature_monthly" / "year=2017").exists()
+
+
 def test_ensemble_lies_between_its_members(result):
     members = result.forecasts.join(
         result.ranking.select("product", "country", "model"), ["product", "country", "model"]
@@ -123,7 +133,7 @@ def test_yearly_backtest_falls_back(yearly):
     assert row.predicted == short.filter("product = 'd' and year = 2014").first().value
 
 
-def test_yearly_future(yearly, yearly_metrics):
+def test_yearly_future(spark, yearly, yearly_metrics, tmp_path):
     made = forecast_years(yearly, yearly_metrics, YEARLY, 2020, 2023, ("people",), QUICK)
     summary = made.summary.collect()
     assert len(summary) == 3 * 4 and {r.models_used for r in summary} == {3}
@@ -132,9 +142,11 @@ def test_yearly_future(yearly, yearly_metrics):
         (r["product"], r.year): r.forecast for r in summary
     }
     assert all(r.actual is None for r in joint)
+    save_future(made, str(tmp_path))
+    assert spark.read.parquet(str(tmp_path / "forecast_summary")).count() == 12
 
 
-def test_scenarios_of_the_best_models(yearly, yearly_metrics):
+def test_scenarios_of_the_best_models(spark, yearly, yearly_metrics, tmp_path):
     made = analyse(
         yearly,
         yearly_metrics,
@@ -152,3 +164,5 @@ def test_scenarios_of_the_best_models(yearly, yearly_metrics):
     assert made.summary.count() == len({k[:4] for k in key})
     assert made.impact.count() == len({k[:3] for k in key})
     assert all(not r.influence_var for r in rows if r.model not in ("rf", "xgb", "lgb"))
+    save_scenarios(made, str(tmp_path))
+    assert spark.read.parquet(str(tmp_path / "comprehensive_scenarios")).count() == len(rows)

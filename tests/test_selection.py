@@ -15,6 +15,7 @@ from loomcast.operators.selection import (
     select_variables,
     tree_importance,
     varying,
+    without_gaps,
 )
 
 KEYS = MONTHLY.keys
@@ -139,3 +140,11 @@ def test_each_model_gets_its_variables(train):
     assert first["sarimax"]["p"][0] == "lead_norm"
     assert first["prophet"]["p"][0] == "copy_norm" == first["xgb"]["p"][0]
     assert first["lgb"]["p"] == ["lead_norm", "noise_norm", "copy_norm"]
+
+
+def test_variables_with_gaps_leave_the_selection(make):
+    rows = make("product string, country string, a double, b double, c double", [("p", "X", 1.0, None, None), ("p", "X", 1.0, 2.0, None)])
+    chosen = make("product string, country string, exo_vars array<string>", [("p", "X", ["c", "b", "a"]), ("q", "X", ["a"])])
+    for rule, expected in (("any", ["a"]), ("all", ["b", "a"])):
+        got = {r["product"]: r.exo_vars for r in without_gaps(chosen, rows, MONTHLY, ["a", "b", "c"], rule).collect()}
+        assert got == {"p": expected, "q": ["a"]}
