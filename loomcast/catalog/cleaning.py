@@ -194,7 +194,7 @@ def run_stats(spark, folder):
 @query(
     "repeated_indicator_rows",
     t._with(t.LOCATED)
-    + """select variable, sum(k - 1) as repeated from (
+    + """select variable, cast(sum(k - 1) as bigint) as repeated from (
            select 'orders_rows' as variable, country, year, count(*) as k from located group by 2, 3
            union all
            select 'customer_rows', country, year, count(*) from (

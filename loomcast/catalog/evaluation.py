@@ -210,7 +210,7 @@ def future_yearly_summary(spark, folder):
     + """, named as (select product, country, list(model order by rank) as vars from ranked group by 1, 2)
          select product, country, coalesce(vars[1], '') as exo_var_1, coalesce(vars[2], '') as exo_var_2,
            coalesce(vars[3], '') as exo_var_3, '' as exo_var_4, '' as exo_var_5,
-           len(list_filter(vars, lambda v: v <> 'low')) as n_available
+           cast(len(list_filter(vars, lambda v: v <> 'low')) as int) as n_available
          from named""",
 )
 def variables_round_trip(spark, folder):
