@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Mapping, Sequence
 from dataclasses import dataclass
+from functools import partial
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -14,7 +15,7 @@ from loomcast.operators.ranking import ENSEMBLE, combine, model_metrics, rank_mo
 from loomcast.operators.reshape import stack, variables_to_columns
 from loomcast.operators.selection import select_variables
 from loomcast.operators.split import split_last
-from loomcast.session import checkpoint
+from loomcast.session import checkpoint, together
 from loomcast.spec import PanelSpec, candidates
 
 
@@ -82,12 +83,14 @@ def backtest(
     selection = checkpoint(
         selection_table(train, spec, names, arima_names, models, importance_rounds)
     )
-    made = []
-    for model in models:
+
+    def holdout_forecast(model: str) -> DataFrame:
         used = arima_names if model == "sarimax" else names
         chosen = selection.filter(F.col("model") == model)
         fitted = fit_model(model, frame, spec, used, chosen, **options.get(model, {}))
-        made.append(predictions(fitted, frame).filter(F.col("split") == "test"))
+        return predictions(fitted, frame).filter(F.col("split") == "test")
+
+    made = together([partial(holdout_forecast, m) for m in models])
     both = stack(made)
     if fallback:
         both = with_fallback(both, predictions(fit_model("naive", frame, spec), frame), spec)

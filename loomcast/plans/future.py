@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Mapping, Sequence
 from dataclasses import dataclass
+from functools import partial
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -17,7 +18,7 @@ from loomcast.operators.reshape import columns_to_variables, stack
 from loomcast.operators.selection import without_gaps
 from loomcast.operators.split import split_at
 from loomcast.plans.backtest import with_fallback
-from loomcast.session import checkpoint
+from loomcast.session import checkpoint, together
 from loomcast.spec import (
     LAG,
     ROLLING,
@@ -100,16 +101,17 @@ def refit(
     ``fallback`` a horizon that a model cannot predict repeats the last value.
     """
     options = options or {}
-    made = []
-    for model in PRIORITY:
+    ranked = {r.model for r in registry.select("model").distinct().collect()}
+
+    def forecast(model: str) -> DataFrame:
         members = registry.filter(F.col("model") == model)
         rows = frame.join(members.select(*spec.keys), list(spec.keys), "left_semi")
-        if members.isEmpty():
-            continue
         if model in ("sarimax", "prophet"):
             members = without_gaps(members, rows, spec, names[model])
         fitted = fit_model(model, rows, spec, names[model], members, **options.get(model, {}))
-        made.append(predictions(fitted, rows))
+        return predictions(fitted, rows)
+
+    made = together([partial(forecast, m) for m in PRIORITY if m in ranked])
     both = stack(made)
     if fallback:
         both = with_fallback(both, predictions(fit_model("naive", frame, spec), frame), spec)

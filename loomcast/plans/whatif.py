@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Mapping, Sequence
 from dataclasses import dataclass
+from functools import partial
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -23,7 +24,7 @@ from loomcast.operators.scenario import (
 from loomcast.operators.selection import without_gaps
 from loomcast.operators.split import split_at
 from loomcast.plans.future import top_models
-from loomcast.session import checkpoint
+from loomcast.session import checkpoint, together
 from loomcast.spec import SCALED, PanelSpec, matching
 
 
@@ -54,17 +55,15 @@ def analyse(
     split = split_at(features.dropna(subset=list(spec.keys)), spec, cutoff, last)
     frame = checkpoint(split.withColumn("t", spec.index()))
     names = matching(frame, SCALED)
-    registry = checkpoint(top_models(metrics, spec, names))
-    made = []
-    for model in PRIORITY:
+    usable = (F.col("model") == "exp_smoothing") | (F.size("exo_vars") > 0)
+    registry = checkpoint(top_models(metrics, spec, names).filter(usable))
+    ranked = {r.model for r in registry.select("model").distinct().collect()}
+
+    def what_if(model: str) -> DataFrame:
         members = registry.filter(F.col("model") == model)
         if model in ("sarimax", "prophet"):
             members = without_gaps(members, frame, spec, names, "all")
-        if model != "exp_smoothing":
-            members = members.filter(F.size("exo_vars") > 0)
         rows = frame.join(members.select(*spec.keys), list(spec.keys), "left_semi")
-        if rows.isEmpty():
-            continue
         fitted = fit_model(model, rows, spec, names, members, **options.get(model, {}))
         fitted.parameters = checkpoint(fitted.parameters)
         future = rows.filter(F.col("split") == "test")
@@ -74,6 +73,8 @@ def analyse(
             attribution = tree_attribution(fitted, rows).filter(F.col("split") == "test")
             drivers = influential(mean_absolute(attribution, spec), spec)
         flagged = flag_influence(scored, drivers, spec).withColumn("model", F.lit(model))
-        made.append(flagged.join(members.select(*spec.keys, "mape"), list(spec.keys)))
+        return flagged.join(members.select(*spec.keys, "mape"), list(spec.keys))
+
+    made = together([partial(what_if, m) for m in PRIORITY if m in ranked])
     table = checkpoint(stack(made))
     return WhatIf(table, scenario_summary(table, spec), impact_analysis(table, spec))

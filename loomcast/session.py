@@ -5,9 +5,15 @@ from __future__ import annotations
 import os
 import tempfile
 import uuid
+from collections.abc import Callable, Sequence
+from concurrent.futures import ThreadPoolExecutor
+from typing import TypeVar
 
+from pyspark import inheritable_thread_target
 from pyspark.sql import DataFrame, SparkSession
 
+R = TypeVar("R")
+
 
 def local_session(cores: int | str = 8, name: str = "loomcast") -> SparkSession:
     """Session for tests and the local bench; a cluster brings its own."""
@@ -55,3 +61,13 @@ def checkpoint(df: DataFrame) -> DataFrame:
     path = f"{shared_folder(df.sparkSession)}/{uuid.uuid4().hex}"
     df.write.parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)
+
+
+def together(tasks: Sequence[Callable[[], R]]) -> list[R]:
+    """Results of independent steps that each start Spark jobs, submitted at once.
+
+    Boosted trees run many short jobs one after the other; next to each other
+    they keep the executors busy.
+    """
+    with ThreadPoolExecutor(max(len(tasks), 1)) as pool:
+        return [f.result() for f in [pool.submit(inheritable_thread_target(t)) for t in tasks]]
