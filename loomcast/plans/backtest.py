@@ -90,7 +90,7 @@ def backtest(
         fitted = fit_model(model, frame, spec, used, chosen, **options.get(model, {}))
         return predictions(fitted, frame).filter(F.col("split") == "test")
 
-    made = together([partial(holdout_forecast, m) for m in models])
+    made = together(frame.sparkSession, [partial(holdout_forecast, m) for m in models])
     both = stack(made)
     if fallback:
         both = with_fallback(both, predictions(fit_model("naive", frame, spec), frame), spec)

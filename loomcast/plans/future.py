@@ -111,7 +111,7 @@ def refit(
         fitted = fit_model(model, rows, spec, names[model], members, **options.get(model, {}))
         return predictions(fitted, rows)
 
-    made = together([partial(forecast, m) for m in PRIORITY if m in ranked])
+    made = together(frame.sparkSession, [partial(forecast, m) for m in PRIORITY if m in ranked])
     both = stack(made)
     if fallback:
         both = with_fallback(both, predictions(fit_model("naive", frame, spec), frame), spec)

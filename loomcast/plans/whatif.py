@@ -75,6 +75,6 @@ def analyse(
         flagged = flag_influence(scored, drivers, spec).withColumn("model", F.lit(model))
         return flagged.join(members.select(*spec.keys, "mape"), list(spec.keys))
 
-    made = together([partial(what_if, m) for m in PRIORITY if m in ranked])
+    made = together(frame.sparkSession, [partial(what_if, m) for m in PRIORITY if m in ranked])
     table = checkpoint(stack(made))
     return WhatIf(table, scenario_summary(table, spec), impact_analysis(table, spec))

@@ -63,11 +63,12 @@ def checkpoint(df: DataFrame) -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
-def together(tasks: Sequence[Callable[[], R]]) -> list[R]:
+def together(spark: SparkSession, tasks: Sequence[Callable[[], R]]) -> list[R]:
     """Results of independent steps that each start Spark jobs, submitted at once.
 
     Boosted trees run many short jobs one after the other; next to each other
     they keep the executors busy.
     """
+    in_session = inheritable_thread_target(spark)
     with ThreadPoolExecutor(max(len(tasks), 1)) as pool:
-        return [f.result() for f in [pool.submit(inheritable_thread_target(t)) for t in tasks]]
+        return [f.result() for f in [pool.submit(in_session(t)) for t in tasks]]
