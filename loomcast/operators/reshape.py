@@ -53,6 +53,8 @@ def literal_rows(rows: Sequence[dict], schema: str) -> Column:
 
 def stack(frames: Sequence[DataFrame]) -> DataFrame:
     """Row union by column name; a column that a frame lacks is null there."""
+    if not frames:
+        raise ValueError("no table to stack: no model is ranked for any series")
     return reduce(lambda a, b: a.unionByName(b, allowMissingColumns=True), frames)
 
 
