@@ -86,3 +86,32 @@ def op10(spark: SparkSession, folder: str) -> DataFrame:
     from loomcast.llm.packing import pack
 
     return pack(table(spark, folder, "documents"), public_tokenizers.path("word_bpe_49k.json")).drop("ids")
+
+
+@query("op7_jaccard_join")
+def op7(spark: SparkSession, folder: str) -> DataFrame:
+    from loomcast.llm.jaccard_join import jaccard_components
+
+    return jaccard_components(table(spark, folder, "documents"))
+
+
+@query("op2_substring_dedup")
+def op2(spark: SparkSession, folder: str) -> DataFrame:
+    from loomcast.llm.passages import repeated_paragraphs
+
+    return repeated_paragraphs(table(spark, folder, "documents"))
+
+
+@query("op8_decontamination")
+def op8(spark: SparkSession, folder: str) -> DataFrame:
+    from loomcast.llm.tiling import leaked_items
+
+    return leaked_items(table(spark, folder, "documents"), table(spark, folder, "benchmark"))
+
+
+@query("op6_quality_classifier")
+def op6(spark: SparkSession, folder: str) -> DataFrame:
+    from loomcast.llm.kneser_ney import quality_scores
+
+    docs = table(spark, folder, "documents").select("doc_id", "lang", "text")
+    return quality_scores(docs, table(spark, folder, "labels")).drop("text")
