@@ -4,10 +4,10 @@ from __future__ import annotations
 
 import zlib
 from collections.abc import Callable, Iterator
+from functools import lru_cache
 
 import numpy as np
 import pyarrow as pa
-import xxhash
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql.pandas.types import to_arrow_schema
 from pyspark.sql.types import StructType
@@ -56,32 +56,55 @@ def arrow_schema(schema: str) -> pa.Schema:
     return to_arrow_schema(StructType.fromDDL(schema))
 
 
-class WordHashes(dict):
-    """64-bit hashes of words; forgets all when ``most`` words are held."""
+def mixed(x: np.ndarray) -> np.ndarray:
+    """A 64-bit finaliser (public-domain splitmix64 constants)."""
+    x = (x ^ (x >> np.uint64(30))) * np.uint64(0xBF58476D1CE4E5B9)
+    x = (x ^ (x >> np.uint64(27))) * np.uint64(0x94D049BB133111EB)
+    return x ^ (x >> np.uint64(31))
 
-    most = 500_000
 
-    def __missing__(self, word: bytes) -> int:
-        if len(self) >= self.most:
-            self.clear()
-        self[word] = out = xxhash.xxh3_64_intdigest(word)
-        return out
+_ODD = np.uint64(0x9E3779B97F4A7C15)
+_INVERSE = np.uint64(pow(int(_ODD), -1, 1 << 64))
+#: Bytes that are hashed at once, but for longer words.
+_PIECE = 1 << 15
+_VALUE_OF = mixed(np.arange(1, 257, dtype=np.uint64) * _ODD)
+_IN_WORD = np.ones(256, bool)
+_IN_WORD[[9, 10, 11, 12, 13, 32]] = False
 
 
-HASHES = WordHashes()
+@lru_cache(maxsize=4)
+def _powers(size: int) -> tuple[np.ndarray, np.ndarray]:
+    """Powers of an odd number and of its inverse, modulo 2 ** 64."""
+    return tuple(np.multiply.accumulate(np.concatenate([[np.uint64(1)], np.full(size, x)])) for x in (_ODD, _INVERSE))
 
 
 def hashed_words(text: bytes) -> np.ndarray:
-    """Hash of each word of a lower-cased text; words end at ASCII white space."""
-    words = text.lower().split()
-    return np.fromiter(map(HASHES.__getitem__, words), np.uint64, len(words))
-
-
-def mixed(x: np.ndarray) -> np.ndarray:
-    """A 64-bit finaliser (public-domain splitmix64 constants)."""
-    x = (x ^ (x >> np.uint64(30))) * np.uint64(0xBF58476D1CE4E5B9)
-    x = (x ^ (x >> np.uint64(27))) * np.uint64(0x94D049BB133111EB)
-    return x ^ (x >> np.uint64(31))
+    """64-bit hash of each word of a text, A-Z lower-cased; words end at ASCII white space."""
+    data = np.frombuffer(text.lower(), np.uint8)
+    inside = _IN_WORD[data]
+    edge = np.flatnonzero(inside[1:] != inside[:-1]) + 1
+    if len(data) and inside[0]:
+        edge = np.concatenate([[0], edge])
+    if len(data) and inside[-1]:
+        edge = np.concatenate([edge, [len(data)]])
+    starts, ends = edge[::2], edge[1::2]
+    if len(data) <= _PIECE:
+        return _hashed(data, starts, ends)
+    out, first = [], 0
+    while first < len(starts):
+        after = max(first + 1, int(np.searchsorted(ends, starts[first] + _PIECE, side="right")))
+        at = starts[first]
+        out.append(_hashed(data[at : ends[after - 1]], starts[first:after] - at, ends[first:after] - at))
+        first = after
+    return np.concatenate(out) if out else np.zeros(0, np.uint64)
+
+
+def _hashed(data: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> np.ndarray:
+    """Polynomial hashes of stretches, from running sums."""
+    power, back = _powers(max(_PIECE, len(data)))
+    sums = np.zeros(len(data) + 1, np.uint64)
+    np.cumsum(_VALUE_OF[data] * power[: len(data)], out=sums[1:])
+    return mixed((sums[ends] - sums[starts]) * back[starts])
 
 
 def windows(words: np.ndarray, width: int) -> np.ndarray:
@@ -89,10 +112,18 @@ def windows(words: np.ndarray, width: int) -> np.ndarray:
     if not len(words):
         return words
     size = min(width, len(words))
-    out = np.full(len(words) - size + 1, size, np.uint64)
+    count = len(words) - size + 1
+    weight = mixed(np.arange(1, size + 2, dtype=np.uint64) * _ODD + np.uint64(size)) | np.uint64(1)
+    out = np.full(count, weight[size])
     for i in range(size):
-        out = mixed(out * np.uint64(0x9E3779B97F4A7C15) + words[i : len(words) - size + 1 + i])
-    return out
+        out += words[i : count + i] * weight[i]
+    return mixed(out)
+
+
+def distinct(values: np.ndarray) -> np.ndarray:
+    """Sorted distinct values."""
+    values = np.sort(values)
+    return values[np.concatenate([[True], values[1:] != values[:-1]])] if len(values) else values
 
 
 def crc32_joined(parts: list[tuple[int, int]]) -> int:

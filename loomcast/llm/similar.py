@@ -1,11 +1,11 @@
 """Groups of similar sets, from candidate buckets.
 
-A bucket is a key that several sets share. Within a bucket all pairs are never
-listed at first: one member at a time is the centre that all others of other
-components are compared with, exactly; whatever it links joins its component.
-Once compared, a centre leaves its bucket, and a bucket within one component is
-done. What is still apart after some rounds is compared pair by pair, so no pair
-that shares a bucket and could connect two components is left out.
+A bucket is a key that several sets share. At first not all pairs of a bucket
+are compared: one member is its centre, and a set is compared exactly with the
+centre that it shares most buckets with. Linked sets become one component, and a
+bucket within one component is done. What is still apart after some rounds is
+compared pair by pair, so no pair that shares a bucket and could connect two
+components is left out.
 """
 
 from __future__ import annotations
@@ -65,38 +65,46 @@ def verified(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
 
 
 def linked_sets(
-    postings: DataFrame, sets_of: Callable[[DataFrame], DataFrame], percent: int, rounds: int = 3
+    postings: DataFrame, sets_of: Callable[[DataFrame], DataFrame], percent: int, rounds: int = 2
 ) -> DataFrame:
     """(node, label) of the sets that are linked to another, but for the least of each component.
 
     ``postings``: (key, node, n), a set's keys and size; similar sets share a
     key. ``sets_of`` returns (node, grams) for at least the given nodes.
     """
-    postings = postings.distinct()
+    postings = checkpoint(postings)
     shared = postings.groupBy("key").agg(F.min("node").alias("low"), F.max("node").alias("high")).filter("low < high")
-    left = checkpoint(postings.join(shared.select("key"), "key"))
-    sets = checkpoint(sets_of(left.select("node").distinct()).dropDuplicates(["node"]).select("node", "grams"))
-    labels = None
+    left = checkpoint(postings.join(shared.select("key"), "key").distinct())
     if left.isEmpty():
         return left.select("node", F.col("node").alias("label"))
+    sets = checkpoint(sets_of(left.select("node").distinct()).dropDuplicates(["node"]).select("node", "grams"))
+    labels = None
     for turn in range(rounds + 1):
         now = left if labels is None else left.join(labels, "node", "left")
         now = now.withColumn("label", F.coalesce("label", "node") if labels is not None else F.col("node"))
+        centre = F.min_by(F.struct("node", "n", "label"), F.xxhash64("node", F.lit(turn))).alias("centre")
+        open_keys = now.groupBy("key").agg(F.min("label").alias("low"), F.max("label").alias("high"), centre)
+        now = checkpoint(now.join(open_keys.filter("low < high").select("key", "centre"), "key"))
+        if now.isEmpty():
+            break
+        left = now.select("key", "node", "n")
         if turn < rounds:
-            centre = F.min_by(F.struct("node", "n", "label"), F.xxhash64("node", F.lit(turn))).alias("centre")
-            open_keys = now.groupBy("key").agg(F.min("label").alias("low"), F.max("label").alias("high"), centre)
-            open_keys = open_keys.filter("low < high").select("key", "centre")
-            joined = checkpoint(now.join(open_keys, "key"))
-            if joined.isEmpty():
-                break
-            pairs = joined.select("node", "n", "label", F.col("centre.node").alias("other"), F.col("centre.n").alias("other_n"), F.col("centre.label").alias("other_label"))
-            left = joined.filter("node != centre.node").select("key", "node", "n")
+            other = [F.col(f"centre.{c}").alias(f"other_{c}") for c in ("node", "n", "label")]
+            pairs = _apart(now.select("node", "n", "label", *other), percent)
+            # a set is compared with the one centre that it shares most keys with
+            shares = pairs.groupBy("node", "other_node").agg(F.count(F.lit(1)).alias("c"))
+            best = F.max_by("other_node", F.struct("c", F.xxhash64("other_node"))).alias("other_node")
+            pairs = shares.groupBy("node").agg(best)
         else:
             here = now.select("key", "node", "n", "label")
-            there = now.select("key", F.col("node").alias("other"), F.col("n").alias("other_n"), F.col("label").alias("other_label"))
-            pairs = here.join(there, "key").filter("node < other")
-        pairs = pairs.filter("label != other_label").filter(close_in_size("n", "other_n", percent))
-        pairs = pairs.select(F.least("node", "other").alias("a"), F.greatest("node", "other").alias("b")).distinct()
+            pairs = here.join(here.select("key", *[F.col(c).alias(f"other_{c}") for c in ("node", "n", "label")]), "key")
+            pairs = _apart(pairs.filter("node < other_node"), percent)
+        pairs = pairs.select(F.least("node", "other_node").alias("a"), F.greatest("node", "other_node").alias("b")).distinct()
         found = verified(pairs, sets, percent)
         labels = components(found if labels is None else found.union(labels.select("node", "label")))
-    return labels
+    return labels.select("node", "label")
+
+
+def _apart(pairs: DataFrame, percent: int) -> DataFrame:
+    """Pairs of different components whose sizes allow a link."""
+    return pairs.filter("label != other_label").filter(close_in_size("n", "other_n", percent))
