@@ -14,7 +14,7 @@ from collections.abc import Callable
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from loomcast.llm.components import components
@@ -65,44 +65,59 @@ def verified(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
 
 
 def linked_sets(
-    postings: DataFrame, sets_of: Callable[[DataFrame], DataFrame], percent: int, rounds: int = 2
+    postings: DataFrame,
+    sets_of: Callable[[DataFrame], DataFrame],
+    percent: int,
+    possible: Callable[[Column, Column, Column], Column] | None = None,
+    likely: Callable[[Column, Column], Column] | None = None,
+    rounds: int = 2,
 ) -> DataFrame:
     """(node, label) of the sets that are linked to another, but for the least of each component.
 
     ``postings``: (key, node, n), a set's keys and size; similar sets share a
     key. ``sets_of`` returns (node, grams) for at least the given nodes.
+    ``possible`` (sizes of two sets, number of keys they share) is false only
+    for pairs that cannot be similar. ``likely`` (size, number of keys shared
+    with a centre) says which sets the first rounds try; it decides no pair.
     """
     postings = checkpoint(postings)
     shared = postings.groupBy("key").agg(F.min("node").alias("low"), F.max("node").alias("high")).filter("low < high")
-    left = checkpoint(postings.join(shared.select("key"), "key").distinct())
-    if left.isEmpty():
-        return left.select("node", F.col("node").alias("label"))
-    sets = checkpoint(sets_of(left.select("node").distinct()).dropDuplicates(["node"]).select("node", "grams"))
-    labels = None
+    now = checkpoint(postings.join(shared.select("key"), "key").distinct().withColumn("label", F.col("node")))
+    labels = now.limit(0).select("node", "label")
     for turn in range(rounds + 1):
-        now = left if labels is None else left.join(labels, "node", "left")
-        now = now.withColumn("label", F.coalesce("label", "node") if labels is not None else F.col("node"))
+        last = turn == rounds
         centre = F.min_by(F.struct("node", "n", "label"), F.xxhash64("node", F.lit(turn))).alias("centre")
-        open_keys = now.groupBy("key").agg(F.min("label").alias("low"), F.max("label").alias("high"), centre)
-        now = checkpoint(now.join(open_keys.filter("low < high").select("key", "centre"), "key"))
+        keys = now.groupBy("key").agg(F.min("label").alias("low"), F.max("label").alias("high"), centre)
+        now = checkpoint(now.join(keys.filter("low < high").select("key", "centre"), "key"))
         if now.isEmpty():
             break
-        left = now.select("key", "node", "n")
-        if turn < rounds:
+        if last:
+            here = now.select("key", "node", "n", "label")
+            pairs = here.join(here.select("key", *[F.col(c).alias(f"other_{c}") for c in ("node", "n", "label")]), "key")
+            pairs = _apart(pairs.filter("node < other_node"), percent).groupBy("node", "n", "other_node", "other_n")
+            pairs = pairs.agg(F.count(F.lit(1)).alias("c"))
+            if possible is not None:
+                pairs = pairs.filter(possible(F.col("n"), F.col("other_n"), F.col("c")))
+        else:
             other = [F.col(f"centre.{c}").alias(f"other_{c}") for c in ("node", "n", "label")]
             pairs = _apart(now.select("node", "n", "label", *other), percent)
             # a set is compared with the one centre that it shares most keys with
-            shares = pairs.groupBy("node", "other_node").agg(F.count(F.lit(1)).alias("c"))
+            pairs = pairs.groupBy("node", "n", "other_node").agg(F.count(F.lit(1)).alias("c"))
+            if likely is not None:
+                pairs = pairs.filter(likely(F.col("n"), F.col("c")))
             best = F.max_by("other_node", F.struct("c", F.xxhash64("other_node"))).alias("other_node")
-            pairs = shares.groupBy("node").agg(best)
-        else:
-            here = now.select("key", "node", "n", "label")
-            pairs = here.join(here.select("key", *[F.col(c).alias(f"other_{c}") for c in ("node", "n", "label")]), "key")
-            pairs = _apart(pairs.filter("node < other_node"), percent)
-        pairs = pairs.select(F.least("node", "other_node").alias("a"), F.greatest("node", "other_node").alias("b")).distinct()
-        found = verified(pairs, sets, percent)
-        labels = components(found if labels is None else found.union(labels.select("node", "label")))
-    return labels.select("node", "label")
+            pairs = pairs.groupBy("node").agg(best)
+        pairs = pairs.select(F.least("node", "other_node").alias("a"), F.greatest("node", "other_node").alias("b"))
+        pairs = checkpoint(pairs.distinct())
+        nodes = checkpoint(pairs.select(F.explode(F.array("a", "b")).alias("node")).distinct())
+        if nodes.isEmpty():
+            continue
+        sets = checkpoint(sets_of(nodes).dropDuplicates(["node"]).select("node", "grams"))
+        labels = components(verified(pairs, sets, percent).union(labels.select("node", "label")))
+        if not last:
+            now = now.select("key", "node", "n").join(labels, "node", "left")
+            now = now.withColumn("label", F.coalesce("label", "node"))
+    return labels
 
 
 def _apart(pairs: DataFrame, percent: int) -> DataFrame:
