@@ -1,11 +1,13 @@
 """Groups of similar sets, from candidate buckets.
 
-A bucket is a key that several sets share. At first not all pairs of a bucket
-are compared: one member is its centre, and a set is compared exactly with the
-centre that it shares most buckets with. Linked sets become one component, and a
-bucket within one component is done. What is still apart after some rounds is
-compared pair by pair, so no pair that shares a bucket and could connect two
-components is left out.
+A bucket is a key that several sets share. In a small bucket, of ``LARGE`` sets
+at most, all pairs of different components are looked at. In a large one every
+set is compared exactly with one centre. Two members that are similar without
+both being similar to the centre differ from it in some of the same grams: if
+their differences D and E have none in common, the sets differ in |D| + |E|
+grams, and a similar pair has so few of them that both are near the centre. So
+the bucket is replaced by buckets of equal differences (by prefixes of them),
+which are treated alike. No pair that could connect two components is left out.
 """
 
 from __future__ import annotations
@@ -14,19 +16,17 @@ from collections.abc import Callable
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from loomcast.llm.common import mixed
 from loomcast.llm.components import components
 from loomcast.session import checkpoint
 
 #: 64-bit words of the filter of wanted sets: 1 MB whatever the input.
 _FILTER_WORDS = 1 << 17
-
-
-def close_in_size(a: str, b: str, percent: int):
-    """Whether sets of these sizes can be similar enough."""
-    return (F.col(a) * 100 >= F.col(b) * percent) & (F.col(b) * 100 >= F.col(a) * percent)
+#: Sets of a bucket whose pairs may be listed: at most half of this per set.
+LARGE = 32
 
 
 def wanted_filter(nodes: DataFrame) -> np.ndarray:
@@ -55,7 +55,7 @@ def verified(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
             keep = []
             for x, y in zip(batch.column("x").to_pylist(), batch.column("y").to_pylist(), strict=True):
                 x, y = np.frombuffer(x, np.uint64), np.frombuffer(y, np.uint64)
-                same = len(x) + len(y) - len(np.union1d(x, y))
+                same = len(x) - len(_without(x, y))
                 keep.append(100 * same >= percent * (len(x) + len(y) - same))
             yield pa.RecordBatch.from_arrays([batch.column("a"), batch.column("b")], names=["a", "b"]).filter(pa.array(keep, pa.bool_()))
 
@@ -68,58 +68,113 @@ def linked_sets(
     postings: DataFrame,
     sets_of: Callable[[DataFrame], DataFrame],
     percent: int,
-    possible: Callable[[Column, Column, Column], Column] | None = None,
-    likely: Callable[[Column, Column], Column] | None = None,
-    rounds: int = 2,
+    rounds: int = 4,
 ) -> DataFrame:
     """(node, label) of the sets that are linked to another, but for the least of each component.
 
-    ``postings``: (key, node, n), a set's keys and size; similar sets share a
-    key. ``sets_of`` returns (node, grams) for at least the given nodes.
-    ``possible`` (sizes of two sets, number of keys they share) is false only
-    for pairs that cannot be similar. ``likely`` (size, number of keys shared
-    with a centre) says which sets the first rounds try; it decides no pair.
+    ``postings``: (key, node, n, rest), a set's keys and size; similar sets share
+    a key. Where the keys are the first grams in a common order, ``rest`` is the
+    number of the others, else n. ``sets_of`` returns (node, grams) for at least
+    the given nodes. Buckets that are still large after ``rounds`` are compared
+    pair by pair.
     """
     postings = checkpoint(postings)
     shared = postings.groupBy("key").agg(F.min("node").alias("low"), F.max("node").alias("high")).filter("low < high")
-    now = checkpoint(postings.join(shared.select("key"), "key").distinct().withColumn("label", F.col("node")))
-    labels = now.limit(0).select("node", "label")
+    now = postings.join(shared.select("key"), "key").distinct()
+    # keys are those of differences from a centre, at first from the empty set
+    now = checkpoint(now.select("key", "node", "n", F.lit(0).cast("long").alias("base"), F.col("n").alias("d"), "rest"))
+    labels, sets = now.limit(0).select("node", F.col("node").alias("label")), None
+
+    def with_sets(nodes):
+        """``sets`` with those of further nodes."""
+        nodes = nodes.distinct()
+        nodes = checkpoint(nodes if sets is None else nodes.join(sets.select("node"), "node", "left_anti"))
+        if nodes.isEmpty() and sets is not None:
+            return sets
+        new = checkpoint(sets_of(nodes).dropDuplicates(["node"]).select("node", "grams"))
+        return new if sets is None else sets.union(new)
+
     for turn in range(rounds + 1):
-        last = turn == rounds
-        centre = F.min_by(F.struct("node", "n", "label"), F.xxhash64("node", F.lit(turn))).alias("centre")
-        keys = now.groupBy("key").agg(F.min("label").alias("low"), F.max("label").alias("high"), centre)
-        now = checkpoint(now.join(keys.filter("low < high").select("key", "centre"), "key"))
         if now.isEmpty():
             break
-        if last:
-            here = now.select("key", "node", "n", "label")
-            pairs = here.join(here.select("key", *[F.col(c).alias(f"other_{c}") for c in ("node", "n", "label")]), "key")
-            pairs = _apart(pairs.filter("node < other_node"), percent).groupBy("node", "n", "other_node", "other_n")
-            pairs = pairs.agg(F.count(F.lit(1)).alias("c"))
-            if possible is not None:
-                pairs = pairs.filter(possible(F.col("n"), F.col("other_n"), F.col("c")))
-        else:
-            other = [F.col(f"centre.{c}").alias(f"other_{c}") for c in ("node", "n", "label")]
-            pairs = _apart(now.select("node", "n", "label", *other), percent)
-            # a set is compared with the one centre that it shares most keys with
-            pairs = pairs.groupBy("node", "n", "other_node").agg(F.count(F.lit(1)).alias("c"))
-            if likely is not None:
-                pairs = pairs.filter(likely(F.col("n"), F.col("c")))
-            best = F.max_by("other_node", F.struct("c", F.xxhash64("other_node"))).alias("other_node")
-            pairs = pairs.groupBy("node").agg(best)
-        pairs = pairs.select(F.least("node", "other_node").alias("a"), F.greatest("node", "other_node").alias("b"))
-        pairs = checkpoint(pairs.distinct())
-        nodes = checkpoint(pairs.select(F.explode(F.array("a", "b")).alias("node")).distinct())
-        if nodes.isEmpty():
-            continue
-        sets = checkpoint(sets_of(nodes).dropDuplicates(["node"]).select("node", "grams"))
-        labels = components(verified(pairs, sets, percent).union(labels.select("node", "label")))
-        if not last:
-            now = now.select("key", "node", "n").join(labels, "node", "left")
-            now = now.withColumn("label", F.coalesce("label", "node"))
+        centre = F.min_by("node", F.xxhash64("node", F.lit(turn))).alias("centre")
+        buckets = now.groupBy("key").agg(F.count(F.lit(1)).alias("size"), centre).filter("size > 1")
+        now = checkpoint(now.join(buckets, "key"))
+        is_large = F.col("size") > (LARGE if turn < rounds else 1 << 62)
+        large = now.filter(is_large)
+        pairs = checkpoint(_all_pairs(now.filter(~is_large), large, labels, percent))
+        if not pairs.isEmpty():
+            sets = with_sets(pairs.select(F.explode(F.array("a", "b")).alias("node")))
+            labels = components(verified(pairs, sets, percent).union(labels))
+        if large.isEmpty():
+            break
+        spokes = checkpoint(large.filter("node != centre").select("node", "n", "centre").distinct())
+        sets = with_sets(spokes.select(F.explode(F.array("node", "centre")).alias("node")))
+        compared = checkpoint(_against_centres(spokes, sets, percent))
+        links = compared.filter("linked").select(F.col("node").alias("a"), F.col("centre").alias("b"))
+        labels = components(links.union(labels))
+        base = F.col("centre").alias("base")
+        now = compared.select(F.explode("keys").alias("key"), "node", "n", base, "d", "rest")
     return labels
 
 
-def _apart(pairs: DataFrame, percent: int) -> DataFrame:
-    """Pairs of different components whose sizes allow a link."""
-    return pairs.filter("label != other_label").filter(close_in_size("n", "other_n", percent))
+def _all_pairs(small: DataFrame, large: DataFrame, labels: DataFrame, percent: int) -> DataFrame:
+    """Pairs (a, b) of different components that share a small bucket and can be similar.
+
+    Two sets whose differences from the base share o grams differ in d + e - 2o
+    grams. Of the keys they share, those in small buckets are counted; beyond
+    them they can share keys in large buckets, and as many grams as the one
+    whose keys end first has left.
+    """
+    own = ["node", "n", "base", "d", "rest", "label", "more"]
+    here = small.select("key", "node", "n", "base", "d", "rest").join(labels, "node", "left")
+    more = large.groupBy("node", "base").agg(F.count(F.lit(1)).alias("more"))
+    here = here.withColumn("label", F.coalesce("label", "node")).join(more, ["node", "base"], "left").fillna(0, "more")
+    there = here.select("key", *[F.col(c).alias(f"other_{c}") for c in own])
+    pairs = here.join(there, "key").filter("node < other_node and label != other_label")
+    pairs = pairs.filter((F.col("n") * 100 >= F.col("other_n") * percent) & (F.col("other_n") * 100 >= F.col("n") * percent))
+    pairs = pairs.groupBy(*own, *[f"other_{c}" for c in own]).agg(F.count(F.lit(1)).alias("c"))
+    most = F.col("c") + F.least("more", "other_more") + F.greatest("rest", "other_rest")
+    differ = F.col("d") + F.col("other_d") - 2 * most
+    possible = differ * (100 + percent) <= (F.col("n") + F.col("other_n")) * (100 - percent)
+    return pairs.filter(possible).select(F.col("node").alias("a"), F.col("other_node").alias("b")).distinct()
+
+
+def _against_centres(spokes: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
+    """(node, centre) with ``linked`` and the keys of a prefix of the node's differences from its centre.
+
+    A set of n that is similar to another member differs from the centre in at
+    most h = n * (100 - percent) / percent grams that the other does not differ
+    in, so h + 1 differences in a common order hold one that both have.
+    """
+
+    names = ["node", "n", "centre", "linked", "keys", "d", "rest"]
+
+    def run(batches):
+        for batch in batches:
+            linked, keys, differences = [], [], []
+            for centre, x, y in zip(*(batch.column(c).to_pylist() for c in ("centre", "x", "y")), strict=True):
+                x, y = np.frombuffer(x, np.uint64), np.frombuffer(y, np.uint64)
+                added, missing = _without(x, y), _without(y, x)
+                same = len(x) - len(added)
+                linked.append(100 * same >= percent * (same + len(added) + len(missing)))
+                differences.append(len(added) + len(missing))
+                few = len(x) * (100 - percent) // percent + 1
+                own = np.concatenate([mixed(added), mixed(~missing)])[:few]
+                keys.append(mixed(own ^ np.uint64(centre & 0xFFFFFFFFFFFFFFFF)).view(np.int64))
+            columns = [batch.column(c) for c in ("node", "n", "centre")]
+            rest = [d - len(k) for d, k in zip(differences, keys, strict=True)]
+            columns += [pa.array(linked, pa.bool_()), pa.array(keys, pa.list_(pa.int64())), pa.array(differences), pa.array(rest)]
+            yield pa.RecordBatch.from_arrays(columns, names=names)
+
+    x = sets.select("node", F.col("grams").alias("x"))
+    y = sets.select(F.col("node").alias("centre"), F.col("grams").alias("y"))
+    joined = spokes.join(x, "node").join(y, "centre").select("node", "n", "centre", "x", "y")
+    return joined.mapInArrow(run, "node long, n long, centre long, linked boolean, keys array<long>, d long, rest long")
+
+
+def _without(x: np.ndarray, y: np.ndarray) -> np.ndarray:
+    """Values of sorted ``x`` that are not in sorted ``y``."""
+    if not len(y):
+        return x
+    return x[y[np.minimum(np.searchsorted(y, x), len(y) - 1)] != x]
