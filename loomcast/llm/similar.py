@@ -98,11 +98,13 @@ def linked_sets(
         if now.isEmpty():
             break
         centre = F.min_by("node", F.xxhash64("node", F.lit(turn))).alias("centre")
-        buckets = now.groupBy("key").agg(F.count(F.lit(1)).alias("size"), centre).filter("size > 1")
-        now = checkpoint(now.join(buckets, "key"))
+        now = now.join(labels, "node", "left").withColumn("label", F.coalesce("label", "node"))
+        ends = [F.min("label").alias("low"), F.max("label").alias("high")]
+        buckets = now.groupBy("key").agg(F.count(F.lit(1)).alias("size"), centre, *ends)
+        now = checkpoint(now.join(buckets.filter("low < high").drop("low", "high"), "key"))
         is_large = F.col("size") > (LARGE if turn < rounds else 1 << 62)
         large = now.filter(is_large)
-        pairs = checkpoint(_all_pairs(now.filter(~is_large), large, labels, percent))
+        pairs = checkpoint(_all_pairs(now.filter(~is_large), large, percent))
         if not pairs.isEmpty():
             sets = with_sets(pairs.select(F.explode(F.array("a", "b")).alias("node")))
             labels = components(verified(pairs, sets, percent).union(labels))
@@ -118,7 +120,7 @@ def linked_sets(
     return labels
 
 
-def _all_pairs(small: DataFrame, large: DataFrame, labels: DataFrame, percent: int) -> DataFrame:
+def _all_pairs(small: DataFrame, large: DataFrame, percent: int) -> DataFrame:
     """Pairs (a, b) of different components that share a small bucket and can be similar.
 
     Two sets whose differences from the base share o grams differ in d + e - 2o
@@ -127,9 +129,8 @@ def _all_pairs(small: DataFrame, large: DataFrame, labels: DataFrame, percent: i
     whose keys end first has left.
     """
     own = ["node", "n", "base", "d", "rest", "label", "more"]
-    here = small.select("key", "node", "n", "base", "d", "rest").join(labels, "node", "left")
     more = large.groupBy("node", "base").agg(F.count(F.lit(1)).alias("more"))
-    here = here.withColumn("label", F.coalesce("label", "node")).join(more, ["node", "base"], "left").fillna(0, "more")
+    here = small.join(more, ["node", "base"], "left").fillna(0, "more").select("key", *own)
     there = here.select("key", *[F.col(c).alias(f"other_{c}") for c in own])
     pairs = here.join(there, "key").filter("node < other_node and label != other_label")
     pairs = pairs.filter((F.col("n") * 100 >= F.col("other_n") * percent) & (F.col("other_n") * 100 >= F.col("n") * percent))
