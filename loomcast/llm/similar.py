@@ -19,13 +19,13 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from loomcast.llm.common import mixed
+from loomcast.llm.common import arrow_schema, mixed
 from loomcast.llm.components import components
 from loomcast.session import checkpoint
 
 #: 64-bit words of the filter of wanted sets: 1 MB whatever the input.
 _FILTER_WORDS = 1 << 17
-#: Sets of a bucket whose pairs may be listed: at most half of this per set.
+#: Sets of a small bucket; in general, half of this is the most pairs per set that may be listed.
 LARGE = 32
 
 
@@ -68,7 +68,7 @@ def linked_sets(
     postings: DataFrame,
     sets_of: Callable[[DataFrame], DataFrame],
     percent: int,
-    rounds: int = 4,
+    rounds: int = 8,
 ) -> DataFrame:
     """(node, label) of the sets that are linked to another, but for the least of each component.
 
@@ -82,7 +82,8 @@ def linked_sets(
     shared = postings.groupBy("key").agg(F.min("node").alias("low"), F.max("node").alias("high")).filter("low < high")
     now = postings.join(shared.select("key"), "key").distinct()
     # keys are those of differences from a centre, at first from the empty set
-    now = checkpoint(now.select("key", "node", "n", F.lit(0).cast("long").alias("base"), F.col("n").alias("d"), "rest"))
+    zero = F.lit(0).cast("long")
+    now = checkpoint(now.select("key", "node", "n", zero.alias("base"), F.col("n").alias("d"), "rest", zero.alias("side")))
     labels, sets = now.limit(0).select("node", F.col("node").alias("label")), None
 
     def with_sets(nodes):
@@ -100,9 +101,11 @@ def linked_sets(
         centre = F.min_by("node", F.xxhash64("node", F.lit(turn))).alias("centre")
         now = now.join(labels, "node", "left").withColumn("label", F.coalesce("label", "node"))
         ends = [F.min("label").alias("low"), F.max("label").alias("high")]
-        buckets = now.groupBy("key").agg(F.count(F.lit(1)).alias("size"), centre, *ends)
+        count = lambda side: F.count(F.when(F.col("side") == side, 1))
+        cost = (count(0) * count(0) / 2 + count(1) * count(-1)) / F.count(F.lit(1))
+        buckets = now.groupBy("key").agg(cost.alias("cost"), centre, *ends)
         now = checkpoint(now.join(buckets.filter("low < high").drop("low", "high"), "key"))
-        is_large = F.col("size") > (LARGE if turn < rounds else 1 << 62)
+        is_large = F.col("cost") > (LARGE / 2 if turn < rounds else float("inf"))
         large = now.filter(is_large)
         pairs = checkpoint(_all_pairs(now.filter(~is_large), large, percent))
         if not pairs.isEmpty():
@@ -115,8 +118,8 @@ def linked_sets(
         compared = checkpoint(_against_centres(spokes, sets, percent))
         links = compared.filter("linked").select(F.col("node").alias("a"), F.col("centre").alias("b"))
         labels = components(links.union(labels))
-        base = F.col("centre").alias("base")
-        now = compared.select(F.explode("keys").alias("key"), "node", "n", base, "d", "rest")
+        now = compared.select("node", "n", "d", F.explode("posted").alias("p"))
+        now = now.select(F.explode("p.keys").alias("key"), "node", "n", "p.base", "d", "p.rest", "p.side")
     return labels
 
 
@@ -128,11 +131,11 @@ def _all_pairs(small: DataFrame, large: DataFrame, percent: int) -> DataFrame:
     them they can share keys in large buckets, and as many grams as the one
     whose keys end first has left.
     """
-    own = ["node", "n", "base", "d", "rest", "label", "more"]
+    own = ["node", "n", "base", "d", "rest", "side", "label", "more"]
     more = large.groupBy("node", "base").agg(F.count(F.lit(1)).alias("more"))
     here = small.join(more, ["node", "base"], "left").fillna(0, "more").select("key", *own)
     there = here.select("key", *[F.col(c).alias(f"other_{c}") for c in own])
-    pairs = here.join(there, "key").filter("node < other_node and label != other_label")
+    pairs = here.join(there, "key").filter("node < other_node and label != other_label and side + other_side = 0")
     pairs = pairs.filter((F.col("n") * 100 >= F.col("other_n") * percent) & (F.col("other_n") * 100 >= F.col("n") * percent))
     pairs = pairs.groupBy(*own, *[f"other_{c}" for c in own]).agg(F.count(F.lit(1)).alias("c"))
     most = F.col("c") + F.least("more", "other_more") + F.greatest("rest", "other_rest")
@@ -142,36 +145,47 @@ def _all_pairs(small: DataFrame, large: DataFrame, percent: int) -> DataFrame:
 
 
 def _against_centres(spokes: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
-    """(node, centre) with ``linked`` and the keys of a prefix of the node's differences from its centre.
-
-    A set of n that is similar to another member differs from the centre in at
-    most h = n * (100 - percent) / percent grams that the other does not differ
-    in, so h + 1 differences in a common order hold one that both have.
+    """(node, n, centre) with ``linked``, the number ``d`` of differences and what is ``posted`` of them.
+
+    Similar sets differ in at most h grams, h = n * (100 - percent) / percent at
+    most. Two members with d and e differences of which they share o differ in
+    d + e - 2o, so o >= (d + e - h) / 2. Members linked to the centre need no
+    link among each other. Of the others d > h, so two of them share more than
+    half of each one's differences; and one of them with a linked member shares
+    more than half of the linked one's and all but h of its own. In a common
+    order, what is left of d beyond o, plus one, then holds a shared difference.
+    Sides 1 and -1 meet each other, side 0 meets itself.
     """
-
-    names = ["node", "n", "centre", "linked", "keys", "d", "rest"]
+    posted = "array<struct<keys:array<long>,base:long,rest:long,side:long>>"
+    schema = arrow_schema(f"node long, n long, centre long, linked boolean, d long, posted {posted}")
 
     def run(batches):
         for batch in batches:
-            linked, keys, differences = [], [], []
+            linked, count, posted = [], [], []
             for centre, x, y in zip(*(batch.column(c).to_pylist() for c in ("centre", "x", "y")), strict=True):
                 x, y = np.frombuffer(x, np.uint64), np.frombuffer(y, np.uint64)
                 added, missing = _without(x, y), _without(y, x)
-                same = len(x) - len(added)
-                linked.append(100 * same >= percent * (same + len(added) + len(missing)))
-                differences.append(len(added) + len(missing))
-                few = len(x) * (100 - percent) // percent + 1
-                own = np.concatenate([mixed(added), mixed(~missing)])[:few]
-                keys.append(mixed(own ^ np.uint64(centre & 0xFFFFFFFFFFFFFFFF)).view(np.int64))
-            columns = [batch.column(c) for c in ("node", "n", "centre")]
-            rest = [d - len(k) for d, k in zip(differences, keys, strict=True)]
-            columns += [pa.array(linked, pa.bool_()), pa.array(keys, pa.list_(pa.int64())), pa.array(differences), pa.array(rest)]
-            yield pa.RecordBatch.from_arrays(columns, names=names)
+                same, d = len(x) - len(added), len(added) + len(missing)
+                near = 100 * same >= percent * (same + d)
+                own = np.concatenate([mixed(added), mixed(~missing)])  # what was added is rarer
+                half = (d + 1) // 2
+                sides = [(1, half)] if near else [(0, half), (-1, min(d, len(x) * (100 - percent) // percent + 1))]
+                posted.append([_posting(own[:size], centre, d - size, side) for side, size in sides])
+                linked.append(near)
+                count.append(d)
+            columns = [*(batch.column(c) for c in ("node", "n", "centre")), linked, count, posted]
+            yield pa.RecordBatch.from_arrays([pa.array(c, f.type) for c, f in zip(columns, schema, strict=True)], schema=schema)
 
     x = sets.select("node", F.col("grams").alias("x"))
     y = sets.select(F.col("node").alias("centre"), F.col("grams").alias("y"))
     joined = spokes.join(x, "node").join(y, "centre").select("node", "n", "centre", "x", "y")
-    return joined.mapInArrow(run, "node long, n long, centre long, linked boolean, keys array<long>, d long, rest long")
+    return joined.mapInArrow(run, f"node long, n long, centre long, linked boolean, d long, posted {posted}")
+
+
+def _posting(own: np.ndarray, centre: int, rest: int, side: int) -> dict:
+    """Keys that only members compared with the same centre, and of a side that it meets, can share."""
+    base = mixed(np.array([centre], np.int64).view(np.uint64) + np.uint64(abs(side)))
+    return {"keys": mixed(own ^ base).view(np.int64), "base": int(base.view(np.int64)[0]), "rest": rest, "side": side}
 
 
 def _without(x: np.ndarray, y: np.ndarray) -> np.ndarray:
