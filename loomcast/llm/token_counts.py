@@ -117,16 +117,18 @@ def token_counts(
     shards = shards or int(spark.conf.get("spark.sql.shuffle.partitions"))
     texts = docs.select(F.col("doc_id").cast("long"), F.col("text").cast("string"))
     known = spark.sparkContext.broadcast(frequent_counts(texts, path, frequent))
-    fields = {
-        "row": pa.int64(), "doc_id": pa.int64(), "n_bytes": pa.int64(), "n_tokens": pa.int64(),
-        "shard": pa.int32(), "tokens": pa.binary(), "rows": pa.binary(), "counts": pa.binary(),
-    }
+    names = ["slice", "shard", "a", "b", "c", "d"]
+    kinds = [pa.int64(), pa.int32(), *[pa.binary()] * 4]
+
+    def row_of(*values):
+        return pa.RecordBatch.from_arrays([pa.array([v], k) for v, k in zip(values, kinds, strict=True)], names=names)
 
     def run(batches):
-        row = (TaskContext.get().partitionId() if TaskContext.get() else 0) << 40
-        look = known.value
+        # a slice's documents are one row with shard null, its rare pre-tokens one row per shard
+        number = (TaskContext.get().partitionId() if TaskContext.get() else 0) << 32
+        look, press = known.value, zstandard.ZstdCompressor(level=1).compress
         for part in slices(batches):
-            rare = defaultdict(list)  # pre-token -> row, times, row, times, ...
+            rare = defaultdict(list)  # pre-token -> document, times, document, times, ...
             own, size = [], []
             for i, t in enumerate(byte_texts(part.column("text"))):
                 total = 0
@@ -138,52 +140,59 @@ def token_counts(
                         total += n * pieces
                 own.append(total)
                 size.append(len(t))
-            rows = np.arange(row, row + len(own))
-            none = [None] * len(own)
-            yield batch(rows, part.column("doc_id"), size, own, none, none, none, none)
-            yield from packed(rare, row)
-            row += len(own)
-
-    def batch(*columns):
-        arrays = [pa.array(c, kind) for c, kind in zip(columns, fields.values(), strict=True)]
-        return pa.RecordBatch.from_arrays(arrays, names=list(fields))
-
-    def packed(rare, row):
-        by_shard = defaultdict(list)
-        for token in rare:
-            by_shard[xxhash.xxh32_intdigest(token) % shards].append(token)
-        press = zstandard.ZstdCompressor(level=1)
-        for shard, tokens in by_shard.items():
-            where = [np.array(rare[t], np.int32) for t in tokens]
-            counts = np.array([len(w) // 2 for w in where], np.int32)
-            joined = b" ".join(t.replace(b" ", b"\xff") for t in tokens)
-            yield batch(
-                [row], [None], [None], [None], [shard],
-                [press.compress(joined)], [press.compress(np.concatenate(where).tobytes())], [press.compress(counts.tobytes())],
-            )
+            docs = part.column("doc_id")
+            ids = (docs.fill_null(0).to_numpy(zero_copy_only=False), size, own)
+            absent = docs.is_null().to_numpy(zero_copy_only=False).astype(np.uint8)
+            yield row_of(number, None, *(press(np.array(x, np.int64).tobytes()) for x in ids), press(absent.tobytes()))
+            by_shard = defaultdict(list)
+            for token in rare:
+                by_shard[xxhash.xxh32_intdigest(token) % shards].append(token)
+            for shard, tokens in by_shard.items():
+                where = [np.array(rare[t], np.int32) for t in tokens]
+                counts = np.array([len(w) // 2 for w in where], np.int32)
+                joined = b" ".join(t.replace(b" ", b"\xff") for t in tokens)
+                yield row_of(number, shard, press(joined), press(np.concatenate(where).tobytes()), press(counts.tobytes()), None)
+            number += 1
 
     def meet(batches):
+        """Pieces of each slice's rare pre-tokens, summed per document of the slice."""
+        expand, press = zstandard.ZstdDecompressor().decompress, zstandard.ZstdCompressor(level=1).compress
         for b in batches:
-            first, tokens, rows, counts = (b.column(c).to_pylist() for c in ("row", "tokens", "rows", "counts"))
-            expand = zstandard.ZstdDecompressor().decompress
-            for f, t, r, c in zip(first, tokens, rows, counts, strict=True):
-                names = [x.replace(b"\xff", b" ") for x in expand(t).split(b" ")]
-                pieces = np.fromiter(map(piece_counts(path).__getitem__, names), np.int64, len(names))
+            for number, t, r, c in zip(*(b.column(x).to_pylist() for x in ("slice", "a", "b", "c")), strict=True):
+                tokens = [x.replace(b"\xff", b" ") for x in expand(t).split(b" ")]
+                pieces = np.fromiter(map(piece_counts(path).__getitem__, tokens), np.int64, len(tokens))
                 at = np.frombuffer(expand(r), np.int32).reshape(-1, 2)
                 sums = np.bincount(at[:, 0], at[:, 1] * np.repeat(pieces, np.frombuffer(expand(c), np.int32)))
-                some = np.flatnonzero(sums)
-                yield pa.RecordBatch.from_arrays(
-                    [pa.array(some + f), pa.array(sums[some].astype(np.int64))], names=["row", "n_tokens"]
-                )
-
-    parts = checkpoint(texts.mapInArrow(run, "row long, doc_id long, n_bytes long, n_tokens long, shard int, tokens binary, rows binary, counts binary"))
-    rare = parts.filter("shard is not null").select("shard", "row", "tokens", "rows", "counts")
-    sums = rare.repartition(shards, "shard").drop("shard").mapInArrow(meet, "row long, n_tokens long")
-    null = F.lit(None).cast("long")
-    every = parts.filter("shard is null").select("row", "doc_id", "n_bytes", "n_tokens")
-    return (
-        every.unionByName(sums.select("row", null.alias("doc_id"), null.alias("n_bytes"), "n_tokens"))
-        .groupBy("row")
-        .agg(F.max("doc_id").alias("doc_id"), F.max("n_bytes").alias("n_bytes"), F.sum("n_tokens").alias("n_tokens"))
-        .select("doc_id", "n_bytes", "n_tokens", (F.col("n_tokens") > limit).alias("over_limit"))
-    )
+                yield row_of(number, 0, press(sums.astype(np.int64).tobytes()), None, None, None)
+
+    def finish(batches):
+        """Documents of the slices of one part, with all sums added."""
+        expand = zstandard.ZstdDecompressor().decompress
+        sums: dict[int, np.ndarray] = {}
+        heads = {}
+        for b in batches:
+            for row in b.to_pylist():
+                number = row["slice"]
+                if row["shard"] is None:
+                    heads[number] = [np.frombuffer(expand(row[x]), np.uint8 if x == "d" else np.int64) for x in "abcd"]
+                    continue
+                more = np.frombuffer(expand(row["a"]), np.int64)
+                have = sums.get(number, np.zeros(0, np.int64))
+                if len(have) < len(more):
+                    have = np.pad(have, (0, len(more) - len(have)))
+                have[: len(more)] += more
+                sums[number] = have
+        for number, (ids, size, own, absent) in heads.items():
+            total = own.copy()
+            more = sums.get(number, total[:0])
+            total[: len(more)] += more
+            yield pa.RecordBatch.from_arrays(
+                [pa.array(ids, mask=absent.astype(bool)), pa.array(size), pa.array(total), pa.array(total > limit)],
+                names=["doc_id", "n_bytes", "n_tokens", "over_limit"],
+            )
+
+    schema = "slice long, shard int, a binary, b binary, c binary, d binary"
+    parts = checkpoint(texts.mapInArrow(run, schema))
+    sums = parts.filter("shard is not null").repartition(shards, "shard").mapInArrow(meet, schema)
+    every = parts.filter("shard is null").union(sums)
+    return every.repartition(shards, "slice").mapInArrow(finish, "doc_id long, n_bytes long, n_tokens long, over_limit boolean")
