@@ -21,15 +21,17 @@ def table(spark: SparkSession, folder: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{folder}/{name}.parquet")
 
 
-def slices(batches: Iterator[pa.RecordBatch], column: str = "text") -> Iterator[pa.RecordBatch]:
-    """The batches cut so that each holds at most ``SLICE_BYTES`` of text, or one row."""
+def slices(
+    batches: Iterator[pa.RecordBatch], column: str = "text", size: int = SLICE_BYTES
+) -> Iterator[pa.RecordBatch]:
+    """The batches cut so that each holds at most ``size`` bytes of text, or one row."""
     for batch in batches:
         if not batch.num_rows:
             continue
         ends = np.cumsum(np.fromiter(map(len, byte_texts(batch.column(column))), np.int64, batch.num_rows))
         first = 0
         while first < batch.num_rows:
-            limit = (ends[first - 1] if first else 0) + SLICE_BYTES
+            limit = (ends[first - 1] if first else 0) + size
             after = max(first + 1, int(np.searchsorted(ends, limit, side="right")))
             yield batch.slice(first, after - first)
             first = after
