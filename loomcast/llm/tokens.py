@@ -14,6 +14,7 @@ import numpy as np
 
 END_ID = 1
 _SEPARATOR = b"<|startoftext|>"
+_MARK = b"<|"
 _MOST = 600_000
 
 
@@ -31,7 +32,10 @@ class ChunkIds:
     def _learn(self, chunks: list[bytes]) -> None:
         if chunks and len(self.known) + len(chunks) > _MOST:  # frequent chunks are met, and so learnt, first
             self.known = dict(islice(self.known.items(), _MOST // 2))
-        plain = [c for c in chunks if _SEPARATOR not in c]
+        # a full stop or comma after an ASCII letter is encoded on its own
+        ended = [c for c in chunks if c[-1:] in (b".", b",") and c[-2:-1].isalpha()]
+        parts = {c[:-1] for c in ended}.union({b".", b","}, chunks).difference(ended, self.known)
+        plain = [c for c in parts if _SEPARATOR not in c]
         for first in range(0, len(plain), 2000):
             some = plain[first : first + 2000]
             ids = self._encode(_SEPARATOR.join(some))
@@ -39,9 +43,11 @@ class ChunkIds:
             pieces = np.split(ids, cuts)
             for i, (chunk, piece) in enumerate(zip(some, pieces, strict=True)):
                 self.known[chunk] = piece[1 if i else 0 :].tobytes()
-        for chunk in chunks:
+        for chunk in parts:
             if _SEPARATOR in chunk:
                 self.known[chunk] = self._encode(chunk).tobytes()
+        for chunk in ended:
+            self.known[chunk] = self.known[chunk[:-1]] + self.known[chunk[-1:]]
 
     def _encode(self, text: bytes) -> np.ndarray:
         out = self.tokenizer.encode_batch_fast([text.decode("utf-8", "replace")], add_special_tokens=False)
@@ -51,7 +57,9 @@ class ChunkIds:
         """Ids of each text, without special tokens."""
         out = []
         for first in range(0, len(texts), 500):
-            chunks = [t.split() for t in texts[first : first + 500]]
+            # the tokenizer lower-cases, but for its special tokens
+            some = (t if _MARK in t else t.lower() for t in texts[first : first + 500])
+            chunks = [t.split() for t in some]
             needed = set().union(*chunks)
             self._learn(list(needed.difference(self.known)))
             if forgotten := needed.difference(self.known):
