@@ -13,8 +13,8 @@ from loomcast.operators.profile import describe, missing_report, run_statistics
 from loomcast.operators.reshape import clean_numbers
 from loomcast.sources.readers import recode, unit_in_years
 
-# Made-up codes of four of the five regions; the fifth has no entry.
-REGION_CODES = {"AFRICA": "Country_A", "AMERICA": "Country_B", "ASIA": "Country_C", "EUROPE": "Country_D"}
+# Short codes of four of the five regions; the fifth has no entry.
+REGION_CODES = {"AFRICA": "AF", "AMERICA": "AM", "ASIA": "AS", "EUROPE": "EU"}
 
 
 @query(
@@ -23,8 +23,7 @@ REGION_CODES = {"AFRICA": "Country_A", "AMERICA": "Country_B", "ASIA": "Country_
     with headers as (
       select p_partkey, concat(p_type, ' ', 'partName', p_brand, 'X (', p_size, ')') as header from part)
     select p_partkey, header,
-           lower(trim(regexp_replace(regexp_replace(header, '([a-z0-9])([A-Z])', '\1_\2', 'g'),
-                                     '[^a-zA-Z0-9]+', '_', 'g'), '_')) as name
+           lower(array_to_string(regexp_extract_all(header, '[A-Z]+[a-z0-9]*|[a-z0-9]+'), '_')) as name
     from headers""",
 )
 def header_snake_case(spark, folder):

@@ -21,7 +21,6 @@ from loomcast.session import checkpoint
 from loomcast.spec import MONTHLY
 
 FIRST, LAST, CUTOFF = 1995, 2001, 2001
-COMPLETE_BEFORE = "2001-08-01"  # the data ends with a month of one day
 INDICATORS = ("active_customers", "urgent_pct", "avg_order_value")
 DERIVED = {"urgent_customers": ("urgent_pct", "active_customers")}
 ALL_INDICATORS = (*INDICATORS, *DERIVED)
@@ -59,7 +58,6 @@ def located_orders(spark: SparkSession, folder: str) -> DataFrame:
     customers = table(spark, folder, "customer").select("c_custkey", "c_nationkey")
     return (
         table(spark, folder, "orders")
-        .filter(F.col("o_orderdate") < F.lit(COMPLETE_BEFORE).cast("timestamp_ntz"))
         .join(customers, F.col("o_custkey") == F.col("c_custkey"))
         .join(nations, F.col("c_nationkey") == F.col("n_nationkey"))
         .join(regions, F.col("n_regionkey") == F.col("r_regionkey"))
@@ -159,8 +157,7 @@ located as (
   select o.*, r_name as country, cast(year(o_orderdate) as int) as year,
          cast(month(o_orderdate) as int) as month
   from orders o join customer on c_custkey = o_custkey
-       join nation on n_nationkey = c_nationkey join region on r_regionkey = n_regionkey
-  where o_orderdate < timestamp '{COMPLETE_BEFORE}')
+       join nation on n_nationkey = c_nationkey join region on r_regionkey = n_regionkey)
 """
 PANEL = """
 panel as (

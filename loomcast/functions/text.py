@@ -7,8 +7,8 @@ import re
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-_WORD_BREAK = r"([a-z0-9])([A-Z])"
-_SEPARATORS = r"[^a-zA-Z0-9]+"
+# A word begins with capitals or follows what is neither letter nor digit.
+_WORDS = r"[A-Z]+[a-z0-9]*|[a-z0-9]+"
 # A plain cast would read '12d' as 12.0, so the text must look like a number first.
 _NUMBER = r"^[+-]?(\d+\.?\d*|\.\d+)([eE][+-]?\d+)?$"
 _INFINITE = r"(?i)^[+-]?inf(inity)?$"
@@ -16,14 +16,12 @@ _INFINITE = r"(?i)^[+-]?inf(inity)?$"
 
 def snake_case(text: str) -> str:
     """Header name in snake_case: ``'Country Name'`` -> ``'country_name'``."""
-    spaced = re.sub(_SEPARATORS, "_", re.sub(_WORD_BREAK, r"\1_\2", text))
-    return spaced.strip("_").lower()
+    return "_".join(re.findall(_WORDS, text)).lower()
 
 
 def snake_case_column(text: Column) -> Column:
     """The same rule as :func:`snake_case` for a string column."""
-    spaced = F.regexp_replace(F.regexp_replace(text, _WORD_BREAK, "$1_$2"), _SEPARATORS, "_")
-    return F.lower(F.regexp_replace(spaced, "^_+|_+$", ""))
+    return F.lower(F.array_join(F.regexp_extract_all(text, F.lit(_WORDS), 0), "_"))
 
 
 def parse_number(text: Column) -> Column:

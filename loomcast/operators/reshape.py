@@ -32,7 +32,9 @@ def columns_first(df: DataFrame, leading: Sequence[str]) -> DataFrame:
 
 
 def year_columns(df: DataFrame, first: int, last: int) -> list[str]:
-    return [c for c in df.columns if c.isdigit() and len(c) == 4 and first <= int(c) <= last]
+    """The columns named after the years from ``first`` to ``last``, as they stand."""
+    wanted = {f"{year:04d}" for year in range(first, last + 1)}
+    return [name for name in df.columns if name in wanted]
 
 
 def unpivot_years(df: DataFrame, ids: Sequence[str], name: str, first: int, last: int) -> DataFrame:

@@ -72,6 +72,8 @@ def mutual_information(long: DataFrame, spec: PanelSpec, bins: int = 4) -> DataF
     )
 
 
+#: Share of a sum of squares, or of a standardised one, that counts as none.
+EXACT_FIT = 1e-12
 RESIDUALS = T.StructType(
     [T.StructField("rss_without", T.DoubleType()), T.StructField("rss_with", T.DoubleType())]
 )
@@ -97,7 +99,8 @@ def causality_tests(long: DataFrame, spec: PanelSpec, max_lag: int | None = None
     its own and the candidate's lags; the F statistic compares the two. Both
     fits come from the same sums of cross products, so a series of any length
     reaches the solve as one small row. Columns: keys, variable, ordinal, lags,
-    n, rss_without, rss_with, f, p_value.
+    n, rss_without, rss_with, f, p_value. A candidate that leaves no residual has
+    an infinite F and p 0; a measure that its own lags explain fully has neither.
     """
     max_lag = spec.causal_lags if max_lag is None else max_lag
     by = [*spec.keys, "variable", "ordinal"]
@@ -138,7 +141,10 @@ def causality_tests(long: DataFrame, spec: PanelSpec, max_lag: int | None = None
         "n",
         "fit.rss_without",
         "fit.rss_with",
-        F.greatest(F.try_divide(gain, F.col("fit.rss_with") / bottom), F.lit(0.0)).alias("f"),
+        F.when(F.col("fit.rss_without") <= EXACT_FIT, None)
+        .when((F.col("fit.rss_with") <= EXACT_FIT * F.col("fit.rss_without")) & (gain > 0), F.lit(float("inf")))
+        .otherwise(F.greatest(gain / (F.col("fit.rss_with") / bottom), F.lit(0.0)))
+        .alias("f"),
     )
     p = f_upper_tail(F.col("f"), F.col("lags").cast("double"), bottom.cast("double"))
     return tested.withColumn("p_value", p)
