@@ -129,7 +129,7 @@ MASTER_COLUMNS = ("value", *t.ALL_INDICATORS, *[f"{c}_norm" for c in t.SCALED])
 
 @query(
     "missing_report",
-    t.WITH_MASTER
+    t.WITH_GAPPY_MASTER
     + " union all ".join(
         f"select 'master' as table_name, '{c}' as column_name, 'double' as data_type, count(*) as n, "
         f"count(*) - count({c}) as nulls, round((count(*) - count({c})) * 100.0::double / count(*), 6) as null_pct "
@@ -138,7 +138,7 @@ MASTER_COLUMNS = ("value", *t.ALL_INDICATORS, *[f"{c}_norm" for c in t.SCALED])
     ),
 )
 def missing(spark, folder):
-    report = missing_report(t.master(spark, folder).select(*MASTER_COLUMNS), "master")
+    report = missing_report(t.master(spark, folder, gaps=True).select(*MASTER_COLUMNS), "master")
     return t.rounded(report, 6, "null_pct")
 
 

@@ -79,13 +79,13 @@ def history_features_in_blocks(spark, folder):
 
 @query(
     "bad_row_filter",
-    t.WITH_MASTER
+    t.WITH_GAPPY_MASTER
     + f", made as ({history_sql('master')}) "
     + f"select product, country, year, month, value, {', '.join(LAGS)}, {t.round_sql(7, *MEANS, *NORM)}, {CALENDAR} "
     + f"from made where value is null or ({COMPLETE})",
 )
 def bad_row_filter(spark, folder):
-    made = t.monthly_features(spark, folder, include_current=True).drop(*t.ALL_INDICATORS)
+    made = t.monthly_features(spark, folder, include_current=True, gaps=True).drop(*t.ALL_INDICATORS)
     return t.rounded(made, 7, *MEANS, *NORM)
 
 

@@ -117,16 +117,20 @@ def yearly_indicators(spark: SparkSession, folder: str) -> DataFrame:
     )
 
 
-def indicator_tables(spark: SparkSession, folder: str) -> dict[str, DataFrame]:
-    """One table per indicator, with gaps: two years in ASIA and one in AFRICA
-    are missing everywhere, and EUROPE has no order values at all. The orders
-    are read once for all tables; the result has a row per region and year."""
+def indicator_tables(spark: SparkSession, folder: str, gaps: bool = False) -> dict[str, DataFrame]:
+    """One table per indicator; the orders are read once for all of them.
+
+    ``gaps`` is for queries about gaps: two years in ASIA and one in AFRICA are
+    then missing everywhere, and EUROPE has no order values at all.
+    """
     rows = checkpoint(yearly_indicators(spark, folder))
-    asia = (F.col("country") == "ASIA") & F.col("year").isin(1997, 1998)
-    africa = (F.col("country") == "AFRICA") & (F.col("year") == 1995)
-    known = rows.filter(~asia & ~africa)
-    tables = {name: known.select("country", "year", name) for name in INDICATORS}
-    tables["avg_order_value"] = tables["avg_order_value"].filter(F.col("country") != "EUROPE")
+    if gaps:
+        asia = (F.col("country") == "ASIA") & F.col("year").isin(1997, 1998)
+        africa = (F.col("country") == "AFRICA") & (F.col("year") == 1995)
+        rows = rows.filter(~asia & ~africa)
+    tables = {name: rows.select("country", "year", name) for name in INDICATORS}
+    if gaps:
+        tables["avg_order_value"] = tables["avg_order_value"].filter(F.col("country") != "EUROPE")
     return tables
 
 
@@ -134,14 +138,16 @@ def dense(spark: SparkSession, folder: str) -> DataFrame:
     return densify(revenue(spark, folder), MONTHLY, FIRST, LAST)
 
 
-def master(spark: SparkSession, folder: str) -> DataFrame:
+def master(spark: SparkSession, folder: str, gaps: bool = False) -> DataFrame:
     return master_monthly(
-        revenue(spark, folder), indicator_tables(spark, folder), FIRST, LAST, DERIVED, UNSCALED
+        revenue(spark, folder), indicator_tables(spark, folder, gaps), FIRST, LAST, DERIVED, UNSCALED
     )
 
 
-def monthly_features(spark: SparkSession, folder: str, include_current: bool = False) -> DataFrame:
-    return features_monthly(master(spark, folder), MONTHLY, include_current)
+def monthly_features(
+    spark: SparkSession, folder: str, include_current: bool = False, gaps: bool = False
+) -> DataFrame:
+    return features_monthly(master(spark, folder, gaps), MONTHLY, include_current)
 
 
 def yearly_features(spark: SparkSession, folder: str) -> DataFrame:
@@ -182,12 +188,16 @@ raw_indicators as (
          count(*) filter (where o_orderpriority = '1-URGENT') * 100.0::double / count(*) as urgent_pct,
          cast(sum(cast(o_totalprice as decimal(18,2))) as double) / count(*) as avg_order_value
   from located group by 1, 2),
-indicators as (
+indicators as (select * from raw_indicators)
+"""
+GAPPY_INDICATORS = RAW_INDICATORS.replace(
+    "indicators as (select * from raw_indicators)",
+    """indicators as (
   select country, year, active_customers, urgent_pct,
          case when country <> 'EUROPE' then avg_order_value end as avg_order_value
   from raw_indicators
-  where not (country = 'ASIA' and year in (1997, 1998)) and not (country = 'AFRICA' and year = 1995))
-"""
+  where not (country = 'ASIA' and year in (1997, 1998)) and not (country = 'AFRICA' and year = 1995))""",
+)
 FOLDED = """
 folded as (
   select c.country, y.year, i.active_customers, i.urgent_pct, i.avg_order_value,
@@ -221,6 +231,7 @@ master as (select d.product, d.country, d.year, d.month, d.value, s.* exclude (c
 """
 WITH_DENSE = _with(LOCATED, PANEL, GRID)
 WITH_MASTER = _with(LOCATED, PANEL, GRID, RAW_INDICATORS, FOLDED, FILLED, SCALE, MASTER)
+WITH_GAPPY_MASTER = _with(LOCATED, PANEL, GRID, GAPPY_INDICATORS, FOLDED, FILLED, SCALE, MASTER)
 TRAIN_TEST = """
 observed as (
   select *, row_number() over (partition by product, country order by year desc, month desc) as back,

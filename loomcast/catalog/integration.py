@@ -11,15 +11,15 @@ from loomcast.operators.integrate import fill_gaps, fold_indicators, scale, shar
 from loomcast.operators.reshape import clean_numbers
 from loomcast.plans.prepare import indicator_table
 
-WITH_FOLDED = t._with(t.LOCATED, t.PANEL, t.GRID, t.RAW_INDICATORS, t.FOLDED)
-WITH_SCALED = t._with(t.LOCATED, t.PANEL, t.GRID, t.RAW_INDICATORS, t.FOLDED, t.FILLED, t.SCALE)
+WITH_FOLDED = t._with(t.LOCATED, t.PANEL, t.GRID, t.GAPPY_INDICATORS, t.FOLDED)
+WITH_SCALED = t._with(t.LOCATED, t.PANEL, t.GRID, t.GAPPY_INDICATORS, t.FOLDED, t.FILLED, t.SCALE)
 NORM = [f"{c}_norm" for c in t.SCALED]
 
 
 def folded(spark, folder):
     countries = distinct_keys(t.revenue(spark, folder), "country")
     grid = add_calendar(countries, t.FIRST, t.LAST, monthly=False)
-    return grid.join(fold_indicators(t.indicator_tables(spark, folder)), ["country", "year"], "left")
+    return grid.join(fold_indicators(t.indicator_tables(spark, folder, gaps=True)), ["country", "year"], "left")
 
 
 def derived(spark, folder):
@@ -63,7 +63,7 @@ def derived_indicator(spark, folder):
 
 @query(
     "fill_forward_backward",
-    t._with(t.LOCATED, t.PANEL, t.GRID, t.RAW_INDICATORS, t.FOLDED, t.FILLED)
+    t._with(t.LOCATED, t.PANEL, t.GRID, t.GAPPY_INDICATORS, t.FOLDED, t.FILLED)
     + f"select country, year, {t.round_sql(6, *t.ALL_INDICATORS)} from filled",
 )
 def fill_forward_backward(spark, folder):
@@ -78,14 +78,14 @@ def fill_forward_backward(spark, folder):
 def standard_scale(spark, folder):
     countries = distinct_keys(t.revenue(spark, folder), "country")
     table = indicator_table(
-        countries, t.indicator_tables(spark, folder), t.FIRST, t.LAST, t.DERIVED, t.UNSCALED
+        countries, t.indicator_tables(spark, folder, gaps=True), t.FIRST, t.LAST, t.DERIVED, t.UNSCALED
     )
     return t.rounded(table.select("country", "year", *NORM), 6, *NORM)
 
 
 @query(
     "standard_scale_history_only",
-    t._with(t.LOCATED, t.PANEL, t.GRID, t.RAW_INDICATORS, t.FOLDED, t.FILLED)
+    t._with(t.LOCATED, t.PANEL, t.GRID, t.GAPPY_INDICATORS, t.FOLDED, t.FILLED)
     + f"""select country, year, round((active_customers - m) / s, 6) as active_customers_norm
           from filled, (select avg(active_customers) as m, stddev_pop(active_customers) as s
                         from filled where year between {t.FIRST} and {t.CUTOFF - 1})""",
@@ -105,7 +105,7 @@ def standard_scale_history_only(spark, folder):
 )
 def indicator_text_to_panel(spark, folder):
     """Indicator values that arrive as '$1,234' become numbers again."""
-    known = t.indicator_tables(spark, folder)["active_customers"]
+    known = t.indicator_tables(spark, folder, gaps=True)["active_customers"]
     text = F.concat(F.lit("$"), F.format_number("active_customers", 0))
     return clean_numbers(known.withColumn("active_customers", text), ["active_customers"])
 

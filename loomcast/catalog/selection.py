@@ -141,7 +141,7 @@ def _gaps_sql(rule: str) -> str:
     gone = ", ".join(f"case when {rule}({n} is null) then '{n}' end" for n in names)
     listed = ", ".join(f"'{n}'" for n in names)
     return (
-        t.WITH_MASTER
+        t.WITH_GAPPY_MASTER
         + f""", gaps as (select product, country, [{gone}] as gone from master group by 1, 2)
         select product, country,
           array_to_string(list_filter([{listed}], lambda v: not coalesce(list_contains(gone, v), false)), ',')
@@ -152,7 +152,7 @@ def _gaps_sql(rule: str) -> str:
 
 def _without_gaps(spark, folder, rule):
     names = ["value", *t.ALL_INDICATORS]
-    rows = checkpoint(t.master(spark, folder))
+    rows = checkpoint(t.master(spark, folder, gaps=True))
     everything = F.array(*[F.lit(n) for n in names])
     selection = rows.select(*MONTHLY.keys).distinct().withColumn("exo_vars", everything)
     return listed(without_gaps(selection, rows, MONTHLY, names, rule))
