@@ -13,7 +13,7 @@ from pyspark.sql.pandas.types import to_arrow_schema
 from pyspark.sql.types import StructType
 
 #: Bytes of text that a Python worker handles at once.
-SLICE_BYTES = 16 << 20
+SLICE_BYTES = 4 << 20
 
 
 def table(spark: SparkSession, folder: str, name: str) -> DataFrame:

@@ -26,7 +26,7 @@ from loomcast.session import checkpoint
 #: 64-bit words of the filter of wanted sets: 1 MB whatever the input.
 _FILTER_WORDS = 1 << 17
 #: Sets of a small bucket; in general, half of this is the most pairs per set that may be listed.
-LARGE = 32
+LARGE = 128
 
 
 def wanted_filter(nodes: DataFrame) -> np.ndarray:

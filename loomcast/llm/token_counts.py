@@ -25,6 +25,8 @@ from loomcast.session import checkpoint
 
 _BLANK = "▁".encode()
 _MOST = 500_000
+#: Bytes of text whose rare pre-tokens are sent to the shards together.
+_SLICE = 16 << 20
 
 
 def pre_tokens(text: bytes) -> list[bytes]:
@@ -127,7 +129,7 @@ def token_counts(
         # a slice's documents are one row with shard null, its rare pre-tokens one row per shard
         number = (TaskContext.get().partitionId() if TaskContext.get() else 0) << 32
         look, press = known.value, zstandard.ZstdCompressor(level=1).compress
-        for part in slices(batches):
+        for part in slices(batches, size=_SLICE):
             rare = defaultdict(list)  # pre-token -> document, times, document, times, ...
             own, size = [], []
             for i, t in enumerate(byte_texts(part.column("text"))):
