@@ -13,6 +13,7 @@ which are treated alike. No pair that could connect two components is left out.
 from __future__ import annotations
 
 from collections.abc import Callable
+from contextlib import contextmanager
 
 import numpy as np
 import pyarrow as pa
@@ -29,6 +30,18 @@ _FILTER_WORDS = 1 << 17
 LARGE = 128
 
 
+@contextmanager
+def small_batches(spark, rows: int = 256):
+    """Pairs of sets go to Python in batches of so many rows while this holds: sets can be large."""
+    name = "spark.sql.execution.arrow.maxRecordsPerBatch"
+    before = spark.conf.get(name)
+    spark.conf.set(name, rows)
+    try:
+        yield
+    finally:
+        spark.conf.set(name, before)
+
+
 def wanted_filter(nodes: DataFrame) -> np.ndarray:
     """Bits of the nodes' hashes; other nodes may pass too, wanted ones always do."""
     bit = F.col("node").bitwiseAND(_FILTER_WORDS * 64 - 1)
@@ -110,12 +123,15 @@ def linked_sets(
         pairs = checkpoint(_all_pairs(now.filter(~is_large), large, percent))
         if not pairs.isEmpty():
             sets = with_sets(pairs.select(F.explode(F.array("a", "b")).alias("node")))
-            labels = components(verified(pairs, sets, percent).union(labels))
+            with small_batches(now.sparkSession):
+                found = checkpoint(verified(pairs, sets, percent))
+            labels = components(found.union(labels))
         if large.isEmpty():
             break
         spokes = checkpoint(large.filter("node != centre").select("node", "n", "centre").distinct())
         sets = with_sets(spokes.select(F.explode(F.array("node", "centre")).alias("node")))
-        compared = checkpoint(_against_centres(spokes, sets, percent))
+        with small_batches(now.sparkSession):
+            compared = checkpoint(_against_centres(spokes, sets, percent))
         links = compared.filter("linked").select(F.col("node").alias("a"), F.col("centre").alias("b"))
         labels = components(links.union(labels))
         now = compared.select("node", "n", "d", F.explode("posted").alias("p"))
