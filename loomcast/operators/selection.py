@@ -173,6 +173,8 @@ def tree_importance(
         .transform(filled.withColumn("label", label).dropna(subset=["label"]))
         .select("features", "label")
     )
+    if vectors.isEmpty():
+        return dict.fromkeys(names, 0.0)
     forest = regressor("rf", rounds, depth).fit(vectors)
     return dict(zip(names, (float(v) for v in forest.featureImportances.toArray())))
 
