@@ -15,7 +15,7 @@ import numpy as np
 END_ID = 1
 _SEPARATOR = b"<|startoftext|>"
 _MARK = b"<|"
-_MOST = 1_200_000
+_MOST = 600_000
 
 
 class ChunkIds:
