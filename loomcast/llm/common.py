@@ -137,22 +137,31 @@ def crc32_joined(parts: list[tuple[int, int]]) -> int:
 
 
 def _shifted(crc: int, size: int) -> int:
-    """The effect of ``size`` zero bytes on a crc32, by squaring the shift matrix."""
-    even = [0xEDB88320, *(1 << i for i in range(31))]  # one zero bit
-    times = lambda m, v: _xor(m[i] for i in range(32) if v >> i & 1)
-    bits = size * 8
-    while bits:
-        if bits & 1:
-            crc = times(even, crc)
-        even = [times(even, row) for row in even]
-        bits >>= 1
+    """The effect of ``size`` zero bytes on a crc32: one matrix for each bit of ``size``."""
+    power = 0
+    while size:
+        if size & 1:
+            crc = _times(_zero_bytes(power), crc)
+        size >>= 1
+        power += 1
     return crc
 
 
-def _xor(values) -> int:
+@lru_cache(maxsize=64)
+def _zero_bytes(power: int) -> tuple[int, ...]:
+    """The effect of 2 ** power zero bytes on each bit of a crc32, by squaring that of one bit."""
+    if power > -3:
+        half = _zero_bytes(power - 1)
+        return tuple(_times(half, row) for row in half)
+    return (0xEDB88320, *(1 << i for i in range(31)))
+
+
+def _times(matrix: tuple[int, ...], vector: int) -> int:
     out = 0
-    for v in values:
-        out ^= v
+    for row in matrix:
+        if vector & 1:
+            out ^= row
+        vector >>= 1
     return out
 
 
