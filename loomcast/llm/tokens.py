@@ -39,15 +39,15 @@ class ChunkIds:
         for first in range(0, len(plain), 2000):
             some = plain[first : first + 2000]
             ids = self._encode(_SEPARATOR.join(some))
-            cuts = np.flatnonzero(ids == self.separator)
-            pieces = np.split(ids, cuts)
-            for i, (chunk, piece) in enumerate(zip(some, pieces, strict=True)):
-                self.known[chunk] = piece[1 if i else 0 :].tobytes()
+            cuts = (2 * np.flatnonzero(ids == self.separator)).tolist()  # in bytes, two an id
+            raw = ids.tobytes()
+            pieces = [raw[a:b] for a, b in zip([0, *(c + 2 for c in cuts)], [*cuts, len(raw)], strict=True)]
+            self.known.update(zip(some, pieces, strict=True))
         for chunk in parts:
             if _SEPARATOR in chunk:
                 self.known[chunk] = self._encode(chunk).tobytes()
-        for chunk in ended:
-            self.known[chunk] = self.known[chunk[:-1]] + self.known[chunk[-1:]]
+        known = self.known
+        known.update([(c, known[c[:-1]] + known[c[-1:]]) for c in ended])
 
     def _encode(self, text: bytes) -> np.ndarray:
         out = self.tokenizer.encode_batch_fast([text.decode("utf-8", "replace")], add_special_tokens=False)
@@ -60,12 +60,13 @@ class ChunkIds:
             # the tokenizer lower-cases, but for its special tokens
             some = (t if _MARK in t else t.lower() for t in texts[first : first + 500])
             chunks = [t.split() for t in some]
-            needed = set().union(*chunks)
-            self._learn(list(needed.difference(self.known)))
-            if forgotten := needed.difference(self.known):
-                self._learn(list(forgotten))
-            look = self.known.__getitem__
-            out += [np.frombuffer(b"".join(map(look, c)), np.uint16) for c in chunks]
+            found = [list(map(self.known.get, c)) for c in chunks]
+            gaps = [[i for i, ids in enumerate(f) if ids is None] if None in f else [] for f in found]
+            self._learn(list({c[i] for c, g in zip(chunks, gaps, strict=True) for i in g}))
+            for c, f, g in zip(chunks, found, gaps, strict=True):
+                for i in g:
+                    f[i] = self.known[c[i]]
+                out.append(np.frombuffer(b"".join(f), np.uint16))
         return out
 
 
