@@ -125,7 +125,7 @@ def linked_sets(
             sets = with_sets(pairs.select(F.explode(F.array("a", "b")).alias("node")))
             with small_batches(now.sparkSession):
                 found = checkpoint(verified(pairs, sets, percent))
-            labels = components(found.union(labels))
+            labels = _joined(labels, found)
         if large.isEmpty():
             break
         spokes = checkpoint(large.filter("node != centre").select("node", "n", "centre").distinct())
@@ -133,12 +133,17 @@ def linked_sets(
         with small_batches(now.sparkSession):
             compared = checkpoint(_against_centres(spokes, sets, percent))
         links = compared.filter("linked").select(F.col("node").alias("a"), F.col("centre").alias("b"))
-        labels = components(links.union(labels))
+        labels = _joined(labels, links)
         now = compared.select("node", "n", "d", F.explode("posted").alias("p"))
         now = now.select(F.explode("p.keys").alias("key"), "node", "n", "p.base", "d", "p.rest", "p.side")
     return labels
 
 
+def _joined(labels: DataFrame, links: DataFrame) -> DataFrame:
+    """Labels with further links; the same ones where there are none."""
+    return labels if links.isEmpty() else components(links.union(labels))
+
+
 def _all_pairs(small: DataFrame, large: DataFrame, percent: int) -> DataFrame:
     """Pairs (a, b) of different components that share a small bucket and can be similar.
 
@@ -153,11 +158,12 @@ def _all_pairs(small: DataFrame, large: DataFrame, percent: int) -> DataFrame:
     there = here.select("key", *[F.col(c).alias(f"other_{c}") for c in own])
     pairs = here.join(there, "key").filter("node < other_node and label != other_label and side + other_side = 0")
     pairs = pairs.filter((F.col("n") * 100 >= F.col("other_n") * percent) & (F.col("other_n") * 100 >= F.col("n") * percent))
-    pairs = pairs.groupBy(*own, *[f"other_{c}" for c in own]).agg(F.count(F.lit(1)).alias("c"))
-    most = F.col("c") + F.least("more", "other_more") + F.greatest("rest", "other_rest")
-    differ = F.col("d") + F.col("other_d") - 2 * most
-    possible = differ * (100 + percent) <= (F.col("n") + F.col("other_n")) * (100 - percent)
-    return pairs.filter(possible).select(F.col("node").alias("a"), F.col("other_node").alias("b")).distinct()
+    # equal keys have equal bases; what the count of keys must reach is known before the count
+    least = (F.col("d") + F.col("other_d")) * (100 + percent) - (F.col("n") + F.col("other_n")) * (100 - percent)
+    need = F.ceil(least / (2 * (100 + percent))) - F.least("more", "other_more") - F.greatest("rest", "other_rest")
+    pairs = pairs.select(F.col("node").alias("a"), F.col("other_node").alias("b"), "base", need.cast("long").alias("need"))
+    counted = pairs.groupBy("a", "b", "base", "need").agg(F.count(F.lit(1)).alias("c"))
+    return counted.filter("c >= need").select("a", "b").distinct()
 
 
 def _against_centres(spokes: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
