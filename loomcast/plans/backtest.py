@@ -11,7 +11,7 @@ from pyspark.sql import functions as F
 
 from loomcast.operators.models import fit_model, predictions
 from loomcast.operators.models.registry import PRIORITY
-from loomcast.operators.ranking import ENSEMBLE, combine, model_metrics, rank_models
+from loomcast.operators.ranking import combine, model_metrics, rank_models
 from loomcast.operators.reshape import stack, variables_to_columns
 from loomcast.operators.selection import select_variables
 from loomcast.operators.split import split_last
@@ -111,7 +111,3 @@ def metrics_table(forecasts: DataFrame, selection: DataFrame, spec: PanelSpec) -
         .select("*", *variables_to_columns(F.col("exo_vars")), (F.col("model") == "exp_smoothing").alias("baseline"))
         .drop("exo_vars")
     )
-
-
-def ensemble_rows(forecasts: DataFrame) -> DataFrame:
-    return forecasts.filter(F.col("model") == ENSEMBLE)
