@@ -97,9 +97,9 @@ def op7(spark: SparkSession, folder: str) -> DataFrame:
 
 @query("op2_substring_dedup")
 def op2(spark: SparkSession, folder: str) -> DataFrame:
-    from loomcast.llm.passages import repeated_paragraphs
+    from loomcast.llm.passages import repeated_passages
 
-    return repeated_paragraphs(table(spark, folder, "documents"))
+    return repeated_passages(table(spark, folder, "documents"))
 
 
 @query("op8_decontamination")

@@ -80,16 +80,21 @@ def _powers(size: int) -> tuple[np.ndarray, np.ndarray]:
     return tuple(np.multiply.accumulate(np.concatenate([[np.uint64(1)], np.full(size, x)])) for x in (_ODD, _INVERSE))
 
 
-def hashed_words(text: bytes) -> np.ndarray:
-    """64-bit hash of each word of a text, A-Z lower-cased; words end at ASCII white space."""
-    data = np.frombuffer(text.lower(), np.uint8)
+def word_spans(data: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """First and end byte of each word of a text's bytes; words end at ASCII white space."""
     inside = _IN_WORD[data]
     edge = np.flatnonzero(inside[1:] != inside[:-1]) + 1
     if len(data) and inside[0]:
         edge = np.concatenate([[0], edge])
     if len(data) and inside[-1]:
         edge = np.concatenate([edge, [len(data)]])
-    starts, ends = edge[::2], edge[1::2]
+    return edge[::2], edge[1::2]
+
+
+def hashed_words(text: bytes) -> np.ndarray:
+    """64-bit hash of each word of a text, A-Z lower-cased; words end at ASCII white space."""
+    data = np.frombuffer(text.lower(), np.uint8)
+    starts, ends = word_spans(data)
     if len(data) <= _PIECE:
         return _hashed(data, starts, ends)
     out, first = [], 0
