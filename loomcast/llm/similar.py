@@ -169,13 +169,15 @@ def _all_pairs(small: DataFrame, large: DataFrame, percent: int) -> DataFrame:
 def _against_centres(spokes: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
     """(node, n, centre) with ``linked``, the number ``d`` of differences and what is ``posted`` of them.
 
-    Similar sets differ in at most h grams, h = n * (100 - percent) / percent at
-    most. Two members with d and e differences of which they share o differ in
-    d + e - 2o, so o >= (d + e - h) / 2. Members linked to the centre need no
-    link among each other. Of the others d > h, so two of them share more than
-    half of each one's differences; and one of them with a linked member shares
-    more than half of the linked one's and all but h of its own. In a common
-    order, what is left of d beyond o, plus one, then holds a shared difference.
+    Similar sets x and y differ in at most k (|x| + |y|) grams, k = (100 - percent)
+    / (100 + percent), and in at most h = |x| (100 - percent) / percent. Two members
+    with d and e differences from the centre c of which they share o differ in
+    d + e - 2o. Members linked to the centre need no link among each other. Where
+    y is not linked, e > k (|y| + |c|), so x shares o > (d + k (|c| - |x|)) / 2 of
+    its differences with any such y that it is similar to: more than half, or
+    somewhat less where the centre is smaller than x. One that is not linked
+    shares all but h of its differences with a linked one. In a common order,
+    what is left of d beyond o, plus one, then holds a shared difference.
     Sides 1 and -1 meet each other, side 0 meets itself.
     """
     posted = "array<struct<keys:array<long>,base:long,rest:long,side:long>>"
@@ -190,8 +192,9 @@ def _against_centres(spokes: DataFrame, sets: DataFrame, percent: int) -> DataFr
                 same, d = len(x) - len(added), len(added) + len(missing)
                 near = 100 * same >= percent * (same + d)
                 own = np.concatenate([mixed(added), mixed(~missing)])  # what was added is rarer
-                half = (d + 1) // 2
-                sides = [(1, half)] if near else [(0, half), (-1, min(d, len(x) * (100 - percent) // percent + 1))]
+                least = (d * (100 + percent) + (len(y) - len(x)) * (100 - percent)) // (2 * (100 + percent)) + 1
+                first = max(0, d - least + 1)
+                sides = [(1, first)] if near else [(0, first), (-1, min(d, len(x) * (100 - percent) // percent + 1))]
                 posted.append([_posting(own[:size], centre, d - size, side) for side, size in sides])
                 linked.append(near)
                 count.append(d)
