@@ -155,6 +155,24 @@ def test_classifier_rejects_what_trusted_text_is_not(make, corpus):
     assert quality_scores(corpus.limit(0), labels).count() == 0
 
 
+def test_classifier_limits_of_rare_classes_and_languages(make):
+    """Junk of a class without held-out text is judged, clean text of a class with one or two is not rejected."""
+    rnd = random.Random(6)
+    words = {"en": ["the", "and", "others", "in", "reason", "then", "sent"], "es": ["los", "y", "otros", "en", "razón", "que", "niño"]}
+    prose = lambda lang, n: " ".join(rnd.choice(words[lang]) for _ in range(n))
+    docs = [(i, prose("en", 60), "en") for i in range(400)]  # 128 to 511 bytes
+    docs += [(1000 + i, prose("es", 60), "es") for i in range(250)] + [(2000 + i, prose("es", 150), "es") for i in range(8)]
+    junk = [(3000, "#!! QZX!! " * 5, "en"), (3001, "#!! QZX!! " * 300, "en"), (3002, "#!! QZX!! " * 300, "es"), (3003, "#!! QZX!! " * 5, "es")]
+    frame = make("doc_id long, text string, lang string", docs + junk)
+    labels = make("doc_id long, quality int, toxic int", [(d, 1, 0) for d, *_ in docs])
+    got = {r.doc_id: r for r in quality_scores(frame, labels).collect()}
+    assert not any(got[d].kept for d, *_ in junk) and all(got[d].limit for d in got)
+    assert sum(not got[2000 + i].kept for i in range(8)) == 0
+    # as many of each language are drawn: the rare one is not crowded out
+    few = kneser_ney._sample(frame, labels, 40).groupBy("lang").count().collect()
+    assert {r.lang for r in few if 15 <= r["count"] <= 80} == {"en", "es"}
+
+
 def test_classifier_by_shuffle_equals_broadcast(make, monkeypatch):
     docs = make("doc_id long, text string, lang string", [(i, f"some words number {i} and more of them", "en") for i in range(40)])
     labels = make("doc_id long, quality int, toxic int", [(i, 1, 0) for i in range(30)])
