@@ -1,7 +1,4 @@
-"""Fitted models, back-test and future forecasts.
-
-Tree ensembles use few rounds here; the library defaults are those of a full run.
-"""
+"""Fitted models, back-test and future forecasts, with the operators' full defaults."""
 
 from __future__ import annotations
 
@@ -19,11 +16,6 @@ from loomcast.plans.future import forecast_months, forecast_years, future_frame,
 from loomcast.session import checkpoint
 from loomcast.spec import MONTHLY, YEARLY, candidates
 
-QUICK = {
-    "rf": {"rounds": 10, "depth": 5},
-    "xgb": {"rounds": 5, "depth": 3},
-    "lgb": {"rounds": 5, "depth": 3},
-}
 FIXED = (0.3, 0.1, 0.1)
 RESULT = ("product", "country", "year", "month", "step", "actual", "predicted")
 
@@ -162,20 +154,20 @@ def first_five(model):
 
 query("seasonal_arx")(first_five("sarimax"))
 query("trend_fourier")(first_five("prophet"))
-model_query("random_forest", "rf", **QUICK["rf"])
-model_query("gbt_deep", "xgb", **QUICK["xgb"])
-model_query("gbt_small", "lgb", **QUICK["lgb"])
+model_query("random_forest", "rf")
+model_query("gbt_deep", "xgb")
+model_query("gbt_small", "lgb")
 
 
 @query("backtest_metrics")
 def backtest_metrics(spark, folder):
-    result = backtest(t.monthly_features(spark, folder), MONTHLY, options=QUICK, importance_rounds=10)
+    result = backtest(t.monthly_features(spark, folder), MONTHLY)
     return t.rounded(result.metrics, 6, "mae", "mse", "rmse", "mape", "mape_pct", "r2")
 
 
 @query("backtest_yearly_metrics")
 def backtest_yearly_metrics(spark, folder):
-    result = backtest(t.yearly_features(spark, folder), YEARLY, options=QUICK, importance_rounds=10)
+    result = backtest(t.yearly_features(spark, folder), YEARLY)
     return t.rounded(result.metrics, 6, "mae", "mse", "rmse", "mape", "mape_pct", "r2")
 
 
@@ -213,22 +205,20 @@ def seeded_future_features(spark, folder):
 
 
 def _metrics(features, spec, cutoff):
-    """Errors of the quick models on the years before the cut."""
+    """Errors of the models on the years before the cut."""
     past = features.filter(F.col("year") < cutoff)
-    return checkpoint(backtest(past, spec, options=QUICK, importance_rounds=10).metrics)
+    return checkpoint(backtest(past, spec).metrics)
 
 
 @query("future_forecast_monthly")
 def future_forecast_monthly(spark, folder):
     features = checkpoint(t.monthly_features(spark, folder))
-    made = forecast_months(features, _metrics(features, MONTHLY, t.CUTOFF), MONTHLY, t.CUTOFF, t.LAST, QUICK)
+    made = forecast_months(features, _metrics(features, MONTHLY, t.CUTOFF), MONTHLY, t.CUTOFF, t.LAST)
     return t.rounded(made.forecasts, 4, "predicted")
 
 
 @query("future_forecast_yearly")
 def future_forecast_yearly(spark, folder):
     features = checkpoint(t.yearly_features(spark, folder))
-    made = forecast_years(
-        features, _metrics(features, YEARLY, t.CUTOFF), YEARLY, t.CUTOFF, t.LAST, ("active_customers",), QUICK
-    )
+    made = forecast_years(features, _metrics(features, YEARLY, t.CUTOFF), YEARLY, t.CUTOFF, t.LAST, ("active_customers",))
     return t.rounded(made.summary, 4, "forecast")

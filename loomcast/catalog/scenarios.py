@@ -8,7 +8,7 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from loomcast.catalog import inputs as t
-from loomcast.catalog.forecasting import QUICK, _metrics
+from loomcast.catalog.forecasting import _metrics
 from loomcast.catalog.registry import query
 from loomcast.operators.attribution import influential, linear_attribution, mean_absolute, tree_attribution
 from loomcast.operators.models import fit_model
@@ -264,7 +264,7 @@ def scenario_influence_flags(spark, folder):
 def attribution_trees(spark, folder):
     """Shapley values of a pooled forest over all coalitions of its variables."""
     frame = checkpoint(split_years(spark, folder).withColumn("t", YEARLY.index()))
-    fitted = fit_model("rf", frame, YEARLY, list(NORM), **QUICK["rf"])
+    fitted = fit_model("rf", frame, YEARLY, list(NORM))
     return t.rounded(tree_attribution(fitted, frame), 4, "attribution")
 
 
@@ -280,6 +280,5 @@ def scenarios_of_top_models(spark, folder):
         t.LAST,
         scenario_list(PERCENT, POINT, NORM),
         panel_statistics(indicators, t.SCALED),
-        QUICK,
     )
     return t.rounded(made.scenarios, 4, "forecast", "scenario_forecast")

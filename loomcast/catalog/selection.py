@@ -214,5 +214,5 @@ def select_granger(spark, folder):
 @query("select_tree_importance")
 def select_tree_importance(spark, folder):
     train, long = long_rows(spark, folder)
-    importance = tree_importance(train, MONTHLY, NAMES, rounds=10, depth=6)
+    importance = tree_importance(train, MONTHLY, NAMES)
     return listed(choose(varying(long, MONTHLY), importance_scores(varying(long, MONTHLY), importance), MONTHLY))

@@ -34,3 +34,29 @@ def test_every_sql_belongs_to_a_query():
 
 def test_entry_has_rows(spark):
     assert entry(spark).count() > 0
+
+
+TREES = [
+    "random_forest", "gbt_deep", "gbt_small", "select_tree_importance", "attribution_trees", "backtest_metrics", "backtest_yearly_metrics",
+    "future_forecast_monthly", "future_forecast_yearly", "scenarios_of_top_models",
+]
+
+
+@pytest.mark.parametrize("name", TREES)
+def test_tree_queries_ask_for_full_rounds(spark, monkeypatch, name):
+    """The first fit of each query is asked for 100 rounds of the default depth, and is then broken off."""
+    from loomcast.operators import selection
+    from loomcast.operators.models import trees
+
+    class Asked(Exception):
+        pass
+
+    def asked(kind, rounds, depth=None):
+        raise Asked(rounds, depth)
+
+    monkeypatch.setattr(trees, "regressor", asked)
+    monkeypatch.setattr(selection, "regressor", asked)
+    with pytest.raises(Asked) as found:
+        # the smallest data have no ranked model for the monthly future
+        queries()[name](spark, FOLDER.replace("0.001", "0.01") if name == "future_forecast_monthly" else FOLDER).count()
+    assert found.value.args in ((100, None), (100, 10))
