@@ -6,6 +6,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
 from loomcast.catalog.registry import Query
+from loomcast.llm.centroids import SQL as CLUSTER_SQL
 from loomcast.llm.common import table
 
 QUERIES: dict[str, Query] = {}
@@ -115,3 +116,25 @@ def op6(spark: SparkSession, folder: str) -> DataFrame:
 
     docs = table(spark, folder, "documents").select("doc_id", "lang", "text")
     return quality_scores(docs, table(spark, folder, "labels")).drop("text")
+
+
+@query("op11_centroid_clusters", CLUSTER_SQL)
+def op11(spark: SparkSession, folder: str) -> DataFrame:
+    from loomcast.llm.centroids import cluster_report
+
+    return cluster_report(table(spark, folder, "embeddings"))
+
+
+@query("op12_best_fit_packing")
+def op12(spark: SparkSession, folder: str) -> DataFrame:
+    from loomcast.llm.vector_packing import packing_report
+
+    return packing_report(table(spark, folder, "documents"), public_tokenizers.path("byte_bpe_50k.json"))
+
+
+@query("op13_tokenizer_alignment")
+def op13(spark: SparkSession, folder: str) -> DataFrame:
+    from loomcast.llm.alignment import aligned_documents
+
+    a, b = public_tokenizers.path("byte_bpe_50k.json"), public_tokenizers.path("piece_bpe_32k.model")
+    return aligned_documents(table(spark, folder, "documents"), a, b)
