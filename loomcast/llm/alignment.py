@@ -24,6 +24,8 @@ from loomcast.session import checkpoint
 FREQUENT = 500_000
 #: Texts whose measures are sent to every task, at most: those with at least this share of all documents.
 HOT = 1000
+#: Bytes of text that are aligned at once; each takes about 100 bytes of memory.
+_SLICE = 1 << 20
 _BLANK = "▁"
 _PAIR = 1 << 32
 _MEASURES = ("n_a", "n_b", "n_groups", "n_links")
@@ -88,7 +90,7 @@ class Aligner:
     def __call__(self, texts: list[bytes]) -> list[tuple]:
         """(n_a, n_b, n_groups, n_links, groups_sha256, pairs, times) of each text; pairs are distinct and sorted."""
         ids_a, ids_b = self.ids(texts)
-        a, b = (np.array([x for ids in side for x in ids], np.int64) for side in (ids_a, ids_b))
+        a, b = (np.concatenate([np.array(ids, np.int64) for ids in side] or [np.zeros(0, np.int64)]) for side in (ids_a, ids_b))
         end_a, end_b = np.cumsum(self._width_a[a]), np.cumsum(self._width_b[b])
         mark = np.zeros((end_a[-1] if len(a) else 0) + 1, np.uint8)  # 1: a token of A ends here, 2: of B
         mark[end_a] = 1
@@ -137,7 +139,7 @@ def aligned_texts(docs: DataFrame, path_a: str, path_b: str) -> DataFrame:
 
     def run(batches):
         align = _aligner(path_a, path_b)
-        for part in slices(batches):
+        for part in slices(batches, size=_SLICE):
             columns = [part.column("key"), part.column("n"), *zip(*align(byte_texts(part.column("text"))), strict=True)]
             arrays = [c if isinstance(c, pa.Array) else pa.array(c, f.type) for c, f in zip(columns, schema, strict=True)]
             yield pa.RecordBatch.from_arrays(arrays, schema=schema)

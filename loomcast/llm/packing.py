@@ -14,7 +14,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from loomcast.llm.common import arrow_schema, byte_texts, crc32_of, mixed, slices
-from loomcast.llm.tokens import chunk_ids, with_end
+from loomcast.llm.tokens import with_end, word_ids
 from loomcast.session import checkpoint
 
 DIMENSIONS = 4
@@ -78,7 +78,7 @@ def document_vectors(docs: DataFrame, path: str) -> DataFrame:
     def run(batches):
         projection = _projection()
         for part in slices(batches):
-            ids = [with_end(x) for x in chunk_ids(path)(byte_texts(part.column("text")))]
+            ids = [with_end(x) for x in word_ids(path)(byte_texts(part.column("text")))]
             columns = (part.column("doc_id"), curve_keys(ids, projection), [crc32_of(x) for x in ids], [x.tobytes() for x in ids])
             yield pa.RecordBatch.from_arrays([pa.array(c, f.type) for c, f in zip(columns, schema, strict=True)], schema=schema)
 

@@ -16,7 +16,7 @@ from pyspark.sql import functions as F
 
 from loomcast.llm.common import arrow_schema, byte_texts, crc32_joined, crc32_of, slices
 from loomcast.llm.range_coder import BLOCK, decode_blocks, encode_blocks
-from loomcast.llm.tokens import chunk_ids, with_end
+from loomcast.llm.tokens import with_end, word_ids
 from loomcast.session import checkpoint
 
 _LANES = 1536
@@ -47,7 +47,7 @@ def encoded(docs: DataFrame, path: str, block: int = BLOCK) -> DataFrame:
 
     def run(batches):
         part = TaskContext.get().partitionId()
-        ids_of = chunk_ids(path)
+        ids_of = word_ids(path)
         made: list[tuple[np.ndarray, list]] = []
         open_ids: list[np.ndarray] = []
         open_pieces: list = []
