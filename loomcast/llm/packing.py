@@ -13,7 +13,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from loomcast.llm.common import arrow_schema, byte_texts, crc32_of, mixed, slices
+from loomcast.llm.common import arrow_schema, byte_texts, crc32_of, mixed, release, slices
 from loomcast.llm.tokens import with_end, word_ids
 from loomcast.session import checkpoint
 
@@ -128,6 +128,7 @@ def pack(docs: DataFrame, path: str, length: int = 2048, parts: int | None = Non
             sequence += 1
             left -= size
         yield made(out)
+        release()
 
     def split(pieces, size):
         head, tail = [], []

@@ -20,7 +20,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from loomcast.llm.common import arrow_schema, mixed
+from loomcast.llm.common import arrow_schema, mixed, release
 from loomcast.llm.components import components
 from loomcast.session import checkpoint
 
@@ -31,7 +31,7 @@ LARGE = 128
 
 
 @contextmanager
-def small_batches(spark, rows: int = 256):
+def small_batches(spark, rows: int = 64):
     """Pairs of sets go to Python in batches of so many rows while this holds: sets can be large."""
     name = "spark.sql.execution.arrow.maxRecordsPerBatch"
     before = spark.conf.get(name)
@@ -71,6 +71,7 @@ def verified(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
                 same = len(x) - len(_without(x, y))
                 keep.append(100 * same >= percent * (len(x) + len(y) - same))
             yield pa.RecordBatch.from_arrays([batch.column("a"), batch.column("b")], names=["a", "b"]).filter(pa.array(keep, pa.bool_()))
+        release()
 
     x = sets.select(F.col("node").alias("a"), F.col("grams").alias("x"))
     y = sets.select(F.col("node").alias("b"), F.col("grams").alias("y"))
@@ -200,6 +201,7 @@ def _against_centres(spokes: DataFrame, sets: DataFrame, percent: int) -> DataFr
                 count.append(d)
             columns = [*(batch.column(c) for c in ("node", "n", "centre")), linked, count, posted]
             yield pa.RecordBatch.from_arrays([pa.array(c, f.type) for c, f in zip(columns, schema, strict=True)], schema=schema)
+        release()
 
     x = sets.select("node", F.col("grams").alias("x"))
     y = sets.select(F.col("node").alias("centre"), F.col("grams").alias("y"))
