@@ -124,21 +124,23 @@ def distinct_series(spark, folder):
     return distinct_keys(t.revenue(spark, folder), "product", "country")
 
 
-MASTER_COLUMNS = ("value", *t.ALL_INDICATORS, *[f"{c}_norm" for c in t.SCALED])
+MASTER_COLUMNS = {"product": "string", "country": "string", "year": "int", "month": "int"} | {
+    c: "double" for c in ("value", *t.ALL_INDICATORS, *[f"{c}_norm" for c in t.SCALED])
+}
 
 
 @query(
     "missing_report",
     t.WITH_GAPPY_MASTER
     + " union all ".join(
-        f"select 'master' as table_name, '{c}' as column_name, 'double' as data_type, count(*) as n, "
+        f"select 'master' as table_name, '{c}' as column_name, '{kind}' as data_type, count(*) as n, "
         f"count(*) - count({c}) as nulls, round((count(*) - count({c})) * 100.0::double / count(*), 6) as null_pct "
         "from master"
-        for c in MASTER_COLUMNS
+        for c, kind in MASTER_COLUMNS.items()
     ),
 )
 def missing(spark, folder):
-    report = missing_report(t.master(spark, folder, gaps=True).select(*MASTER_COLUMNS), "master")
+    report = missing_report(t.master(spark, folder, gaps=True), "master")
     return t.rounded(report, 6, "null_pct")
 
 
@@ -158,24 +160,26 @@ def _describe_sql(name: str, column: str, number: bool) -> str:
            {stats} from {name}"""
 
 
+#: Every column of the table, and whether it is a number.
+LINE_COLUMNS = {
+    "l_orderkey": True, "l_partkey": True, "l_suppkey": True, "l_linenumber": True, "l_quantity": True,
+    "l_extendedprice": True, "l_discount": True, "l_tax": True, "l_returnflag": False, "l_linestatus": False,
+    "l_shipdate": False,
+}
+
+
 @query(
     "describe_all",
     "with d(column_name, n, n_unique, top, freq, mean, std, min, q1, median, q3, max) as ("
     + " union all ".join(
         _describe_sql("lineitem", c, number)
-        for c, number in (
-            ("l_quantity", True),
-            ("l_extendedprice", True),
-            ("l_linenumber", True),
-            ("l_returnflag", False),
-        )
+        for c, number in LINE_COLUMNS.items()
     )
     + ") select column_name, n, n_unique, top, freq, mean, std, cast(min as double) as min, q1, median, q3, "
     "cast(max as double) as max from d",
 )
 def describe_all(spark, folder):
-    lines = t.table(spark, folder, "lineitem")
-    described = describe(lines, ["l_quantity", "l_extendedprice", "l_linenumber", "l_returnflag"])
+    described = describe(t.table(spark, folder, "lineitem"), list(LINE_COLUMNS))
     return t.rounded(described, 4, "mean", "std", "q1", "median", "q3")
 
 

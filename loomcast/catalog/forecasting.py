@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 from loomcast.catalog import inputs as t
 from loomcast.catalog.registry import query
 from loomcast.operators.models import fit_model, predictions
+from loomcast.operators.models.arima import fit_arima
 from loomcast.operators.models.base import default_selection
 from loomcast.operators.models.fourier import fit_fourier
 from loomcast.operators.models.smoothing import GRID, fit_smoothing
@@ -37,10 +38,17 @@ def holdout_of(fitted, frame, digits=4):
     return t.rounded(made.select(*RESULT), digits, "predicted")
 
 
+def every_forecast(fitted, frame, digits=4):
+    """All test rows with the status of their series; null where there is no prediction."""
+    made = predictions(fitted, frame).filter("split = 'test'")
+    return t.rounded(made.select(*RESULT, "status"), digits, "predicted")
+
+
 def smoothing_sql(grid) -> str:
     """Holt-Winters recursion over arrays, all parameter sets at once.
 
-    The queue ``q`` holds the season with the current phase in front.
+    The queue ``q`` holds the season with the current phase in front. Series of
+    less than two seasons are smoothed without one, and need two values.
     """
     sets = ", ".join(f"({i}, {a}::double, {b}::double, {g}::double)" for i, (a, b, g) in enumerate(grid))
     return (
@@ -65,30 +73,40 @@ def smoothing_sql(grid) -> str:
              list_append(q[2:12], g * (y[i + 1] - level - trend) + (1 - g) * q[1]),
              sse + (y[i + 1] - (level + trend + q[1])) * (y[i + 1] - (level + trend + q[1])), y
       from smooth where i < n),
+    plain as (
+      select product, country, set_id, a, b, 2 as i, len(y) as n, y[2] as level, y[2] - y[1] as trend, 0.0::double as sse, y
+      from series, params where len(y) between 2 and 23
+      union all
+      select product, country, set_id, a, b, i + 1, n, a * y[i + 1] + (1 - a) * (level + trend),
+             b * (a * y[i + 1] + (1 - a) * (level + trend) - level) + (1 - b) * trend,
+             sse + (y[i + 1] - (level + trend)) * (y[i + 1] - (level + trend)), y
+      from plain where i < n),
+    ends as (
+      select product, country, set_id, level, trend, q, sse, 'ok' as status from smooth where i = n
+      union all
+      select product, country, set_id, level, trend, list_transform(range(12), lambda k: 0.0::double), sse, 'no_season'
+      from plain where i = n),
     best as (
       select * from (
-        select *, row_number() over (partition by product, country order by sse, set_id) as place
-        from smooth where i = n) where place = 1)
+        select *, row_number() over (partition by product, country order by sse, set_id) as place from ends)
+      where place = 1)
     select h.product, h.country, h.year, h.month, h.step, h.value as actual,
-           round(s.level + h.step * s.trend + s.q[(h.step - 1) % 12 + 1], 4) as predicted
-    from held h join best s using (product, country) where h.split = 'test'"""
+           round(s.level + h.step * s.trend + s.q[(h.step - 1) % 12 + 1], 4) as predicted,
+           coalesce(s.status, 'too_short') as status
+    from held h left join best s using (product, country) where h.split = 'test'"""
     )
 
 
 @query("holt_winters_fixed", smoothing_sql([FIXED]))
 def holt_winters_fixed(spark, folder):
     frame = panel_frame(spark, folder)
-    fitted = fit_smoothing(frame, MONTHLY, grid=[FIXED])
-    fitted.parameters = fitted.parameters.filter("status = 'ok'")
-    return holdout_of(fitted, frame)
+    return every_forecast(fit_smoothing(frame, MONTHLY, grid=[FIXED]), frame)
 
 
 @query("holt_winters_fit", smoothing_sql(GRID))
 def holt_winters_fit(spark, folder):
     frame = panel_frame(spark, folder)
-    fitted = fit_smoothing(frame, MONTHLY)
-    fitted.parameters = fitted.parameters.filter("status = 'ok'")
-    return holdout_of(fitted, frame)
+    return every_forecast(fit_smoothing(frame, MONTHLY, grid=GRID), frame)
 
 
 # Least squares on trend, sine and cosine, one regressor after the other:
@@ -115,9 +133,11 @@ weights as (
   select product, country, sum(value * p1) / sum(p1 * p1) as wp, sum(value * s1) / sum(s1 * s1) as ws,
          sum(value * c2) / sum(c2 * c2) as wc
   from cleared where split = 'train' group by 1, 2)
-select product, country, year, month, step, value as actual,
-       round(my + wp * p1 + ws * s1 + wc * c2, 3) as predicted
-from cleared join weights using (product, country) where split = 'test' and n >= 6
+select h.product, h.country, h.year, h.month, h.step, h.value as actual,
+       case when n >= 6 then round(my + wp * p1 + ws * s1 + wc * c2, 3) end as predicted,
+       case when coalesce(n, 0) >= 6 then 'ok' else 'too_short' end as status
+from held h left join cleared c using (product, country, year, month) left join weights w using (product, country)
+where h.split = 'test'
 """
 
 
@@ -125,9 +145,42 @@ from cleared join weights using (product, country) where split = 'test' and n >=
 def trend_one_harmonic(spark, folder):
     """Trend and one harmonic without variables or ridge, so SQL can follow."""
     frame = panel_frame(spark, folder)
-    fitted = fit_fourier(frame, MONTHLY, breaks=(), order=1, ridge=0.0)
-    fitted.parameters = fitted.parameters.filter("n >= 6")
-    return holdout_of(fitted, frame, 3)
+    return every_forecast(fit_fourier(frame, MONTHLY, breaks=(), order=1, ridge=0.0, least=6), frame, 3)
+
+
+# Each value is expected to equal the one before it, with a variance that grows with the periods between.
+RANDOM_WALK = """,
+steps as (
+  select *, value - lag(value) over w as change, year * 12 + month - lag(year * 12 + month) over w as gap
+  from held where split = 'train' window w as (partition by product, country order by year, month)),
+fits as (
+  select product, country, count(gap) as n, avg(change * change / gap) as sigma2, sum(ln(gap)) as logs,
+         arg_max(value, year * 12 + month) as last
+  from steps group by 1, 2 having count(*) >= 2)
+select h.product, h.country, h.year, h.month, h.step, h.value as actual, round(last, 4) as predicted,
+       case when n is null then 'too_short' else 'ok' end as status, n, round(sqrt(sigma2), 4) as sigma,
+       round(case when sigma2 > 0 then -0.5 * (n * (ln(2 * pi() * sigma2) + 1) + logs) end, 4) as loglik
+from held h left join fits using (product, country) where h.split = 'test'
+"""
+
+
+@query("arima_random_walk", t._with(t.LOCATED, t.PANEL, t.GRID, t.TRAIN_TEST) + RANDOM_WALK)
+def arima_random_walk(spark, folder):
+    """Orders (0, 1, 0): likelihood and forecasts of the filter over a calendar with missing months."""
+    frame = panel_frame(spark, folder)
+    fitted = fit_arima(frame, MONTHLY, order=(0, 1, 0), seasonal=(0, 0, 0))
+    found = fitted.parameters.select(*MONTHLY.keys, "n", F.sqrt("sigma2").alias("sigma"), "loglik")
+    made = predictions(fitted, frame).filter("split = 'test'").join(found, list(MONTHLY.keys))
+    return t.rounded(made.select(*RESULT, "status", "n", "sigma", "loglik"), 4, "predicted", "sigma", "loglik")
+
+
+@query("seasonal_arima_parameters")
+def seasonal_arima_parameters(spark, folder):
+    """Weights, variance and likelihood of the seasonal model of every monthly series, without variables."""
+    fitted = fit_arima(panel_frame(spark, folder), MONTHLY)
+    columns = [F.try_element_at("weights", F.lit(i + 1)).alias(c) for i, c in enumerate(("ar", "seasonal_ar", "ma", "seasonal_ma"))]
+    rows = fitted.parameters.select(*MONTHLY.keys, "status", "n", *columns, F.sqrt("sigma2").alias("sigma"), "loglik")
+    return t.rounded(rows, 4, "ar", "seasonal_ar", "ma", "seasonal_ma", "sigma", "loglik")
 
 
 def model_query(name, model, history=True, **options):

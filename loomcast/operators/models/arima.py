@@ -1,4 +1,4 @@
-"""Regression with seasonal ARIMA(1,1,1)(1,1,1) errors."""
+"""Regression with seasonal ARIMA errors, by greatest likelihood."""
 
 from __future__ import annotations
 
@@ -17,81 +17,65 @@ from loomcast.operators.models.base import (
     slot_values,
     with_variables,
 )
+from loomcast.operators.models.statespace import Shape, fitted
 from loomcast.spec import PanelSpec
 
-_RESULT = "status string, beta array<double>, phi array<double>, path array<double>"
-_LONG_AR = 3  # order of the first pass that estimates the shocks
-_LIMIT = 0.98  # keeps the recursion of the forecast from growing without bound
+_COLUMNS = ("status", "beta", "weights", "sigma2", "loglik", "n", "path")
+_RESULT = "status string, beta array<double>, weights array<double>, sigma2 double, loglik double, n long, path array<double>"
+_BATCH = 64  # series filtered together; bounds the memory of one numpy step
 
 
-def _least_squares(x: np.ndarray, y: np.ndarray, ridge: float) -> np.ndarray:
-    scale = np.sqrt((x * x).sum(axis=0))
-    scale[scale == 0] = 1.0
-    z = x / scale
-    return np.linalg.solve(z.T @ z + ridge * np.eye(x.shape[1]), z.T @ y) / scale
+def plan_fit(shape: Shape, observations: int, variables: int) -> tuple[str, Shape | None, int]:
+    """Status, shape and number of variables that a series of some observations supports.
 
-
-def _shifted(v: np.ndarray, k: int) -> np.ndarray:
-    return np.concatenate([np.zeros(k), v[: len(v) - k]])
+    The observations beyond those that tell the start levels must outnumber the
+    weights. A series too short for a season is fitted without it; the first
+    variables enter as far as each leaves another observation.
+    """
+    for status, tried in (("ok", shape), ("no_season", shape.without_season())):
+        spare = observations - tried.lost - tried.weights - 1
+        if spare >= 0:
+            return ("ok" if not shape.season else status), tried, min(variables, spare)
+    return "too_short", None, 0
 
 
-def fit_one(y: np.ndarray, x: np.ndarray, steps: int, s: int, ridge: float = 1e-6) -> tuple:
-    """Fit one series; ``x`` has a row per training and forecast period.
+def arima_solver(shape: Shape, slots: int):
+    """Pandas UDF over (periods, training values, variables, number of chosen variables).
 
-    Differencing by 1 and by the season removes trend and season from both
-    sides; the variables' weights are a least-squares fit of the differences.
-    What they leave is an ARMA process whose shocks come from a long
-    autoregression first and enter a second least-squares fit as regressors.
+    Training periods come first in ``ts``. A period without a row, or whose
+    variables are incomplete, is not seen by the filter.
     """
-    n = len(y)
-    if n >= 2 * s + 8:
-        season, status = s, "ok"
-    elif n >= 8:
-        season, status = 0, "no_season"
-    else:
-        return "too_short", None, None, None
-
-    def difference(v):
-        d = np.diff(v, axis=0)
-        return d[season:] - d[:-season] if season else d
-
-    beta = _least_squares(difference(x[:n]), difference(y), ridge)
-    noise = y - x[:n] @ beta
-    u = difference(noise)
-    orders = [1, season] if season else [1]
-    long_lags = sorted(set(range(1, _LONG_AR + 1)) | set(orders))
-    wide = np.stack([_shifted(u, k) for k in long_lags], axis=1)
-    shock = u - wide @ _least_squares(wide, u, ridge)
-    terms = np.stack([_shifted(v, k) for v in (u, shock) for k in orders], axis=1)
-    phi = np.clip(_least_squares(terms, u, ridge), -_LIMIT, _LIMIT)
-    own = phi[: len(orders)]
-    own *= min(1.0, _LIMIT / max(np.abs(own).sum(), 1e-12))
-
-    offset = n - len(u)
-    expected = np.full(n, np.nan)
-    expected[offset:] = noise[offset:] - (u - terms @ phi)
-    noise, u, shock = list(noise), list(u), list(u - terms @ phi)
-    half = len(orders)
-    for _ in range(steps):
-        step = sum(phi[i] * u[-k] + phi[half + i] * shock[-k] for i, k in enumerate(orders))
-        back = noise[-1] + (noise[-season] - noise[-season - 1] if season else 0.0)
-        noise.append(step + back)
-        u.append(step)
-        shock.append(0.0)
-    path = np.concatenate([expected, noise[n:]])
-    if not np.isfinite(path[n:]).all():
-        return "singular", None, None, None
-    return status, beta, phi, path
-
-
-def arima_solver(season: int, slots: int, ridge: float):
+
     @F.pandas_udf(_RESULT)
-    def run(y: pd.Series, x: pd.Series, n_test: pd.Series) -> pd.DataFrame:
-        rows = [
-            fit_one(np.asarray(yi, float), np.asarray(xi, float).reshape(-1, slots), int(h), season, ridge)
-            for yi, xi, h in zip(y, x, n_test)
-        ]
-        return pd.DataFrame(rows, columns=["status", "beta", "phi", "path"])
+    def run(ts: pd.Series, y: pd.Series, x: pd.Series, chosen: pd.Series) -> pd.DataFrame:
+        out = [("too_short", *[None] * (len(_COLUMNS) - 1))] * len(y)
+        plans: dict[tuple, list] = {}
+        for i, (t, values, regressors, k) in enumerate(zip(ts, y, x, chosen, strict=True)):
+            t, values = np.asarray(t, np.int64), np.asarray(values, float)
+            table = np.asarray(regressors, float).reshape(len(t), slots)[:, :k]
+            known = np.flatnonzero(np.isfinite(table[: len(values)]).all(axis=1))
+            if len(known):
+                status, own, k = plan_fit(shape, len(known), k)
+                if own is not None:
+                    plans.setdefault((status, own, k), []).append((i, t - t[known].min(), values, table[:, :k], known))
+        for (status, own, k), members in plans.items():
+            members.sort(key=lambda m: m[1].max())
+            for first in range(0, len(members), _BATCH):
+                part = members[first : first + _BATCH]
+                size = (len(part), max(int(m[1].max()) for m in part) + 1)
+                values, table, seen = np.zeros(size), np.zeros((*size, k)), np.zeros(size, bool)
+                for j, (_, at, own_y, own_x, known) in enumerate(part):
+                    values[j, at[known]], table[j, at[known]], seen[j, at[known]] = own_y[known], own_x[known], True
+                made = fitted(own, values, table, seen)
+                for j, (i, at, *_) in enumerate(part):
+                    path = np.where(at >= 0, made["path"][j][np.maximum(at, 0)], np.nan)
+                    path[at < own.lost] = np.nan  # expected from start levels alone
+                    if np.isfinite(made["path"][j]).all():
+                        loglik = made["loglik"][j] if made["sigma2"][j] > 0 else None  # without bound where nothing is left
+                        out[i] = (status, made["beta"][j], made["weights"][j], made["sigma2"][j], loglik, int(made["n"][j]), path)
+                    else:
+                        out[i] = ("singular", *[None] * (len(_COLUMNS) - 1))
+        return pd.DataFrame(out, columns=list(_COLUMNS))
 
     return run
 
@@ -102,21 +86,33 @@ def fit_arima(
     names: Sequence[str] = (),
     selection: DataFrame | None = None,
     slots: int = SLOTS,
-    ridge: float = 1e-6,
+    order: tuple[int, int, int] = (1, 1, 1),
+    seasonal: tuple[int, int, int] = (1, 1, 1),
     name: str = "sarimax",
 ) -> PathModel:
     """One seasonal ARIMA regression per series, on its chosen variables.
 
+    Exact Gaussian likelihood by a Kalman filter over the calendar; missing
+    periods, also inside the training range, are passed over. ``weights`` are
+    those of the autoregressive, seasonal autoregressive, moving-average and
+    seasonal moving-average terms that the orders ask for. Status: ``ok``,
+    ``no_season`` (too short for the seasonal part), ``too_short``, ``singular``.
+
     The forecast splits into a path of the noise, which no variable touches,
     and a linear effect, so scenarios are scored without another recursion.
     """
-    rows = with_variables(frame, spec, selection)
-    series = series_arrays(rows, spec, slot_values(names, slots))
-    fitted = series.withColumn("fit", arima_solver(spec.season, slots, ridge)("y", "x", "n_test")).select(
+    rows = with_variables(frame, spec, selection, slots)
+    series = series_arrays(rows, spec, slot_values(names, slots, missing=float("nan")))
+    shape = Shape(order, seasonal, spec.season if any(seasonal) else 0)
+    chosen = F.least(F.size("exo_vars"), F.lit(slots)) if names else F.lit(0)
+    solved = series.withColumn("fit", arima_solver(shape, slots)("ts", "y", "x", chosen)).select(
         *spec.keys,
         "fit.status",
-        "fit.phi",
+        "fit.weights",
+        "fit.sigma2",
+        "fit.loglik",
+        "fit.n",
         F.map_from_arrays("ts", "fit.path").alias("path"),
         coefficient_map(F.col("fit.beta"), slots).alias("coefficients"),
     )
-    return PathModel(name, spec, list(names), fitted)
+    return PathModel(name, spec, list(names), solved)

@@ -21,36 +21,51 @@ def default_selection(frame: DataFrame, spec: PanelSpec, names: Sequence[str]) -
     return frame.select(*spec.keys).distinct().withColumn("exo_vars", chosen)
 
 
-def with_variables(rows: DataFrame, spec: PanelSpec, selection: DataFrame | None) -> DataFrame:
-    """Attach each series' chosen variables (``exo_vars``); none when unselected."""
+def with_variables(
+    rows: DataFrame, spec: PanelSpec, selection: DataFrame | None, most: int | None = None
+) -> DataFrame:
+    """Attach each series' chosen variables (``exo_vars``); none when unselected.
+
+    More than ``most`` of them for a series is an error.
+    """
     if selection is None:
         return rows.withColumn("exo_vars", F.array().cast("array<string>"))
-    return rows.join(selection.select(*spec.keys, "exo_vars"), list(spec.keys), "left")
+    chosen = F.col("exo_vars")
+    if most is not None:
+        too_many = F.raise_error(F.lit(f"more than {most} variables chosen for a series"))
+        chosen = F.when(F.size("exo_vars") > most, too_many.cast("array<string>")).otherwise(chosen)
+    return rows.join(selection.select(*spec.keys, chosen.alias("exo_vars")), list(spec.keys), "left")
 
 
-def slot_values(names: Sequence[str], width: int) -> list[Column]:
-    """Values of the chosen variables of a row in selection order, 0 where absent."""
+def slot_values(names: Sequence[str], width: int, missing: float | None = 0.0) -> list[Column]:
+    """Values of the chosen variables of a row in selection order: 0 beyond the
+    choice, ``missing`` where a chosen one has no value."""
     if not names:
         return [F.lit(0.0)] * width
     lookup = F.map_from_arrays(
         F.array(*[F.lit(n) for n in names]), F.array(*[F.col(n).cast("double") for n in names])
     )
     picked = [F.try_element_at(F.col("exo_vars"), F.lit(i)) for i in range(1, width + 1)]
-    return [F.coalesce(F.try_element_at(lookup, p), F.lit(0.0)) for p in picked]
+    return [
+        F.when(p.isNull(), 0.0).otherwise(F.coalesce(F.try_element_at(lookup, p), F.lit(missing).cast("double"))) for p in picked
+    ]
 
 
 def variable_effect(coefficients: str, names: Sequence[str]) -> Column:
-    """Sum of coefficient times value over the candidates a series uses."""
-    terms = [
-        F.coalesce(F.try_element_at(F.col(coefficients), F.lit(n)) * F.col(n).cast("double"), F.lit(0.0))
-        for n in names
-    ]
+    """Sum of coefficient times value over the candidates a series uses; null if one has no value."""
+    weights = [(n, F.try_element_at(F.col(coefficients), F.lit(n))) for n in names]
+    terms = [F.when(w.isNull(), 0.0).otherwise(w * F.col(n).cast("double")) for n, w in weights]
     return reduce(lambda a, b: a + b, terms, F.lit(0.0))
 
 
+def path_status(level: Column, effect: Column) -> Column:
+    """A row's status: the series' own, but where a variable that it needs has no value."""
+    return F.when(level.isNotNull() & effect.isNull(), "incomplete").otherwise(F.col("status"))
+
+
 def coefficient_map(values: Column, width: int) -> Column:
     """``exo_vars`` paired with the first coefficients of an array, as a map."""
-    used = F.least(F.size("exo_vars"), F.lit(width))
+    used = F.least(F.size("exo_vars"), F.lit(width), F.size(values))
     return F.map_from_arrays(F.slice("exo_vars", 1, used), F.slice(values, F.lit(1), used))
 
 
@@ -78,9 +93,10 @@ class PathModel(Fitted):
     def score(self, rows: DataFrame) -> DataFrame:
         kept = self.parameters.select(*self.spec.keys, "status", "path", "coefficients")
         level = F.try_element_at(F.col("path"), F.col("t"))
+        effect = variable_effect("coefficients", self.names)
         return (
             rows.join(kept, list(self.spec.keys))
-            .withColumn("predicted", level + variable_effect("coefficients", self.names))
+            .withColumns({"predicted": level + effect, "status": path_status(level, effect)})
             .drop("path", "coefficients")
         )
 

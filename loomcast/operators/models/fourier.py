@@ -12,6 +12,7 @@ from loomcast.operators.models.base import (
     SLOTS,
     Fitted,
     coefficient_map,
+    path_status,
     slot_values,
     variable_effect,
     with_variables,
@@ -46,15 +47,16 @@ class FourierModel(Fitted):
 
     def score(self, rows: DataFrame) -> DataFrame:
         shape = shape_columns(self.season, self.breaks, self.order)
-        predicted = F.col("intercept") + variable_effect("coefficients", self.names)
+        effect = variable_effect("coefficients", self.names)
+        level = F.when(F.col("status") == "ok", F.col("intercept"))
         for i, column in enumerate(shape):
-            predicted = predicted + F.element_at("shape", i + 1) * column
+            level = level + F.element_at("shape", i + 1) * column
         kept = self.parameters.select(
             *self.spec.keys, "status", "t_first", "t_last", "intercept", "shape", "coefficients"
         )
         return (
             rows.join(kept, list(self.spec.keys))
-            .withColumn("predicted", F.when(F.col("status") == "ok", predicted))
+            .withColumns({"predicted": level + effect, "status": path_status(level, effect)})
             .drop("t_first", "t_last", "intercept", "shape", "coefficients")
         )
 
@@ -68,25 +70,26 @@ def fit_fourier(
     order: int | None = None,
     slots: int = SLOTS,
     ridge: float = 1e-3,
+    least: int = MIN_ROWS,
     name: str = "prophet",
 ) -> FourierModel:
     """Trend with change points, smooth season and chosen variables, per series.
 
-    All terms are columns, so the fit is one grouped aggregate and a small
-    solve per series. Yearly data has no season inside the year.
+    Rows without a value of a chosen variable are not used. All terms are columns, so the fit is one grouped aggregate and a small
+    solve per series; one of fewer than ``least`` rows is ``too_short``. Yearly data has no season inside the year.
     """
     if order is None:
         order = 3 if spec.monthly else 0
-    train = with_variables(frame, spec, selection).filter(
+    train = with_variables(frame, spec, selection, slots).filter(
         (F.col("split") == "train") & F.col(spec.value).isNotNull()
     )
     bounded = train.withColumns(
         {"t_first": F.min("t").over(spec.series()), "t_last": F.max("t").over(spec.series())}
     )
     shape = shape_columns(spec.season, breaks, order)
-    terms = {f"_x{i}": c for i, c in enumerate([*shape, *slot_values(names, slots)])}
+    terms = {f"_x{i}": c for i, c in enumerate([*shape, *slot_values(names, slots, missing=None)])}
     fitted = fit_groups(
-        bounded.withColumns(terms),
+        bounded.withColumns(terms).dropna(subset=list(terms)),  # rows whose variables are complete
         spec.keys,
         [F.col(c) for c in terms],
         F.col(spec.value),
@@ -94,9 +97,10 @@ def fit_fourier(
         keep=[F.any_value(c).alias(c) for c in ("t_first", "t_last", "exo_vars")],
     )
     width = len(shape)
-    parameters = fitted.select(
+    every = frame.select(*spec.keys).distinct()  # also series without a training row
+    parameters = every.join(fitted, list(spec.keys), "left").select(
         *spec.keys,
-        F.when(F.col("n") >= MIN_ROWS, "ok").otherwise("too_short").alias("status"),
+        F.when(F.col("n") >= least, "ok").otherwise("too_short").alias("status"),
         "n",
         "t_first",
         "t_last",
