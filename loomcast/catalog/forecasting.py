@@ -11,6 +11,7 @@ from loomcast.operators.models.arima import fit_arima
 from loomcast.operators.models.base import default_selection
 from loomcast.operators.models.fourier import fit_fourier
 from loomcast.operators.models.smoothing import GRID, fit_smoothing
+from loomcast.operators.models.trees import fit_trees
 from loomcast.operators.split import split_last
 from loomcast.plans.backtest import backtest
 from loomcast.plans.future import forecast_months, forecast_years, future_frame, seeded
@@ -212,6 +213,78 @@ model_query("gbt_deep", "xgb")
 model_query("gbt_small", "lgb")
 
 
+STUMP_VARIABLES = ("month", "active_customers_norm", "avg_order_value_norm")
+
+
+def stump_sql(penalty: float, rate: float, least_rows: int) -> str:
+    """One split per series from grouped sums of gradient and curvature: every cut of every variable.
+
+    Curvature is one for each row, so its sum is a count.
+    """
+    branches = " union all ".join(
+        f"select product, country, {i} as ordinal, '{c}' as variable, {c} as x, value from seen" for i, c in enumerate(STUMP_VARIABLES)
+    )
+    pick = "case f.variable " + " ".join(f"when '{c}' then h.{c}" for c in STUMP_VARIABLES) + " end"
+    return (
+        t._with(t.LOCATED, t.PANEL, t.GRID, t.RAW_INDICATORS, t.FOLDED, t.FILLED, t.SCALE, t.TRAIN_TEST)
+        + f""",
+    rows_ as (
+      select h.*, s.active_customers_norm, s.avg_order_value_norm
+      from held h left join scaled s on s.country = h.country and s.year = h.year),
+    seen as (select * from rows_ where split = 'train' and {" and ".join(f"{c} is not null" for c in STUMP_VARIABLES)}),
+    totals as (select product, country, avg(value) as base, count(*) as n from seen group by 1, 2),
+    levels as (
+      select product, country, ordinal, variable, x, sum(base - value) as g, count(*) as h
+      from ({branches}) join totals using (product, country) group by 1, 2, 3, 4, 5),
+    cuts as (
+      select *, lead(x) over w as next_x, sum(g) over w as gl, sum(h) over w as hl, sum(g) over a as gt, sum(h) over a as ht
+      from levels
+      window w as (partition by product, country, ordinal order by x rows between unbounded preceding and current row),
+             a as (partition by product, country, ordinal)),
+    gains as (
+      select *, gl * gl / (hl + {penalty}) + (gt - gl) * (gt - gl) / (ht - hl + {penalty}) - gt * gt / (ht + {penalty}) as gain
+      from cuts where next_x is not null and hl >= {least_rows} and ht - hl >= {least_rows}),
+    chosen as (
+      select * from (
+        select *, row_number() over (partition by product, country order by hl, ordinal) as place
+        from (select *, max(gain) over (partition by product, country) as most from gains)
+        where most > 1e-6 and gain >= most * (1 - 1e-9)) where place = 1),
+    fits as (
+      select product, country, base, c.variable, (x + next_x) / 2 as cut, n,
+             -{rate} * gl / (hl + {penalty}) as low, -{rate} * (gt - gl) / (ht - hl + {penalty}) as high, hl * 1.0 / ht as share
+      from totals left join chosen c using (product, country))
+    select h.product, h.country, h.year, h.month, h.step, h.value as actual,
+           case when f.n is null then 'too_short' else 'ok' end as status,
+           round(base + case when cut is null then 0 when {pick} <= cut then low else high end, 3) as predicted,
+           round(base + coalesce(low * share + high * (1 - share), 0), 3) as expected,
+           f.variable as split_variable,
+           round(case when cut is not null then case when {pick} <= cut then low else high end - low * share - high * (1 - share) end, 3) as attribution
+    from rows_ h left join fits f using (product, country) where h.split = 'test'"""
+    )
+
+
+def stump_query(name, kind, **sql):
+    """One tree of one split per series: prediction, expectation and what the split variable adds, against grouped sums."""
+
+    @query(name, stump_sql(**sql))
+    def run(spark, folder):
+        frame = frame_of(split_last(t.master(spark, folder), MONTHLY))
+        fitted = fit_trees(frame, MONTHLY, STUMP_VARIABLES, kind=kind, rounds=1, depth=1)
+        made = fitted.explained(frame.filter("split = 'test'"))
+        split = fitted.parameters.select(*MONTHLY.keys, F.try_element_at("feature", F.lit(1)).alias("feature"))
+        at = F.when(F.col("feature") >= 0, F.col("feature") + 1)
+        labels = F.array(*[F.lit(c) for c in STUMP_VARIABLES])
+        rows = made.join(split, list(MONTHLY.keys)).select(
+            "product", "country", "year", "month", "step", F.col("value").alias("actual"), "predicted", "status", "expected",
+            F.try_element_at(labels, at).alias("split_variable"), F.try_element_at("parts", at).alias("attribution"),
+        )
+        return t.rounded(rows, 3, "predicted", "expected", "attribution")
+
+
+stump_query("gbt_level_first_split", "xgb", penalty=1.0, rate=0.3, least_rows=1)
+stump_query("gbt_leaf_first_split", "lgb", penalty=0.0, rate=0.1, least_rows=20)
+
+
 @query("backtest_metrics")
 def backtest_metrics(spark, folder):
     result = backtest(t.monthly_features(spark, folder), MONTHLY)

@@ -262,7 +262,7 @@ def scenario_influence_flags(spark, folder):
 
 @query("attribution_trees")
 def attribution_trees(spark, folder):
-    """Shapley values of a pooled forest over all coalitions of its variables."""
+    """Shapley values of a forest per series, along the paths of its trees."""
     frame = checkpoint(split_years(spark, folder).withColumn("t", YEARLY.index()))
     fitted = fit_model("rf", frame, YEARLY, list(NORM))
     return t.rounded(tree_attribution(fitted, frame), 4, "attribution")

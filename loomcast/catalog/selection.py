@@ -11,7 +11,6 @@ from loomcast.operators.selection import (
     causality_scores,
     causality_tests,
     choose,
-    importance_scores,
     long_form,
     mutual_information,
     tree_importance,
@@ -214,5 +213,4 @@ def select_granger(spark, folder):
 @query("select_tree_importance")
 def select_tree_importance(spark, folder):
     train, long = long_rows(spark, folder)
-    importance = tree_importance(train, MONTHLY, NAMES)
-    return listed(choose(varying(long, MONTHLY), importance_scores(varying(long, MONTHLY), importance), MONTHLY))
+    return listed(choose(varying(long, MONTHLY), tree_importance(train, MONTHLY, NAMES), MONTHLY))

@@ -2,88 +2,29 @@
 
 from __future__ import annotations
 
-import random
 from collections.abc import Sequence
-from itertools import combinations
-from math import factorial
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from loomcast.operators.models.base import Fitted
 from loomcast.operators.models.trees import TreeModel
-from loomcast.operators.reshape import literal_rows
 from loomcast.spec import PanelSpec
 
-EXACT_UP_TO = 8  # variables; beyond that 2**k coalitions per row are too many
-
-
-def coalitions(k: int, permutations: int = 32, seed: int = 42) -> list[tuple[list[bool], list[float]]]:
-    """Coalitions of ``k`` variables and the weight of each in every Shapley value.
-
-    The value of variable i is the sum over coalitions of weight[i] times the
-    prediction with only the coalition's variables at their actual values. Up
-    to eight variables all coalitions are used, which is exact; beyond that,
-    the prefixes of random orders and of their reverses.
-    """
-    weights: dict[frozenset[int], list[float]] = {}
-
-    def add(members: frozenset[int], i: int, w: float) -> None:
-        weights.setdefault(members | {i}, [0.0] * k)[i] += w
-        weights.setdefault(members, [0.0] * k)[i] -= w
-
-    if k <= EXACT_UP_TO:
-        for i in range(k):
-            others = [j for j in range(k) if j != i]
-            for size in range(k):
-                w = factorial(size) * factorial(k - size - 1) / factorial(k)
-                for members in combinations(others, size):
-                    add(frozenset(members), i, w)
-    else:
-        draw = random.Random(seed)
-        for _ in range(permutations):
-            order = draw.sample(range(k), k)
-            for walk in (order, order[::-1]):
-                for at, i in enumerate(walk):
-                    add(frozenset(walk[:at]), i, 1.0 / (2 * permutations))
-    return [([i in c for i in range(k)], w) for c, w in sorted(weights.items(), key=lambda e: sorted(e[0]))]
-
 
 def tree_attribution(model: TreeModel, rows: DataFrame, extra: Sequence[str] = ()) -> DataFrame:
-    """Shapley value of every model variable for every row, in long form.
+    """Shapley value of every model variable for every row that the model can score, in long form.
 
-    A variable outside the coalition takes its mean over the training rows of
-    the series. Each row is repeated once per coalition, all hybrids are scored
-    by the pooled forest in one pass, and a sum per row and variable finishes.
-    Columns: keys, time, extra, variable, attribution.
+    Values follow the paths of the trees: what a row's prediction differs from
+    the forest's mean over its training rows, dealt out exactly among the
+    variables, whatever their number. A variable that the series did not choose
+    has zero. Columns: keys, time, split, extra, variable, attribution.
     """
-    spec, names = model.spec, model.names
-    design = coalitions(len(names))
-    listed = [{"members": members, "weights": weights} for members, weights in design]
-    coalition = literal_rows(listed, "members: array<boolean>, weights: array<double>")
-    inputs = model.inputs(rows)
-    train = F.col("split") == "train"
-    for n in names:
-        usual = F.avg(F.when(train, F.col(f"in_{n}"))).over(spec.series())
-        inputs = inputs.withColumn(f"usual_{n}", usual)
-    complete = inputs.dropna(subset=[f"in_{n}" for n in names] + [f"usual_{n}" for n in names])
-    hybrids = complete.withColumn("coalition", F.explode(coalition)).withColumns(
-        {
-            f"in_{n}": F.when(F.element_at("coalition.members", i + 1), F.col(f"in_{n}")).otherwise(
-                F.col(f"usual_{n}")
-            )
-            for i, n in enumerate(names)
-        }
-    )
-    scored = model.score_inputs(hybrids)
-    by = [*spec.cell, "split", *extra]
-    values = scored.groupBy(*by).agg(
-        *[
-            F.sum(F.element_at("coalition.weights", i + 1) * F.col("predicted")).alias(n)
-            for i, n in enumerate(names)
-        ]
-    )
-    return values.unpivot(by, list(names), "variable", "attribution")
+    by = [*model.spec.cell, "split", *extra]
+    parts = model.explained(rows).filter(F.col("parts").isNotNull())
+    labels = F.array(*[F.lit(n) for n in model.names])
+    pairs = F.arrays_zip(labels.alias("variable"), F.col("parts").alias("attribution"))
+    return parts.select(*by, F.inline(pairs))
 
 
 def linear_attribution(

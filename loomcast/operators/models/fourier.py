@@ -83,13 +83,15 @@ def fit_fourier(
     train = with_variables(frame, spec, selection, slots).filter(
         (F.col("split") == "train") & F.col(spec.value).isNotNull()
     )
+    if names:
+        train = train.filter(F.forall(F.array(*slot_values(names, slots, missing=None)), lambda v: v.isNotNull()))
     bounded = train.withColumns(
         {"t_first": F.min("t").over(spec.series()), "t_last": F.max("t").over(spec.series())}
     )
     shape = shape_columns(spec.season, breaks, order)
-    terms = {f"_x{i}": c for i, c in enumerate([*shape, *slot_values(names, slots, missing=None)])}
+    terms = {f"_x{i}": c for i, c in enumerate([*shape, *slot_values(names, slots)])}
     fitted = fit_groups(
-        bounded.withColumns(terms).dropna(subset=list(terms)),  # rows whose variables are complete
+        bounded.withColumns(terms),
         spec.keys,
         [F.col(c) for c in terms],
         F.col(spec.value),

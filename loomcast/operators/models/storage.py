@@ -1,10 +1,9 @@
-"""Fitted models on disk: parameter table, settings, and the forest of pooled trees."""
+"""Fitted models on disk: parameter table and settings."""
 
 from __future__ import annotations
 
 import json
 
-from pyspark.ml.regression import GBTRegressionModel, RandomForestRegressionModel
 from pyspark.sql import SparkSession
 
 from loomcast.operators.models.base import Fitted, PathModel
@@ -14,26 +13,21 @@ from loomcast.sources.tables import read_table, write_table
 from loomcast.spec import PanelSpec
 
 KINDS = {c.__name__: c for c in (PathModel, FourierModel, TreeModel)}
-FORESTS = {c.__name__: c for c in (RandomForestRegressionModel, GBTRegressionModel)}
 
 
 def save_fitted(fitted: Fitted, path: str) -> None:
     """Write a fitted model; series are rows of a table, not files of their own."""
-    forest = getattr(fitted, "forest", None)
     settings = {
         "kind": type(fitted).__name__,
         "name": fitted.name,
         "names": fitted.names,
         "baseline": fitted.baseline,
-        "forest": type(forest).__name__ if forest is not None else None,
     }
     if isinstance(fitted, FourierModel):
         settings["shape"] = [fitted.season, list(fitted.breaks), fitted.order]
     write_table(fitted.parameters, f"{path}/parameters")
     spark = fitted.parameters.sparkSession
     write_table(spark.createDataFrame([(json.dumps(settings),)], "settings string"), f"{path}/settings")
-    if forest is not None:
-        forest.write().overwrite().save(f"{path}/forest")
 
 
 def load_fitted(spark: SparkSession, path: str, spec: PanelSpec) -> Fitted:
@@ -44,6 +38,4 @@ def load_fitted(spark: SparkSession, path: str, spec: PanelSpec) -> Fitted:
     )
     if "shape" in settings:
         made.season, made.breaks, made.order = settings["shape"]
-    if settings["forest"]:
-        made.forest = FORESTS[settings["forest"]].load(f"{path}/forest")
     return made

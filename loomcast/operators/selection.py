@@ -2,18 +2,17 @@
 
 from __future__ import annotations
 
-from collections.abc import Mapping, Sequence
+from collections.abc import Sequence
 
 import numpy as np
 import pandas as pd
-from pyspark.ml.feature import VectorAssembler
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from loomcast.functions.fdist import f_upper_tail
 from loomcast.operators.models.leastsq import cross_products, unpack
-from loomcast.operators.models.trees import regressor
+from loomcast.operators.models.trees import regressor, training_series
 from loomcast.spec import PanelSpec
 
 TOP = 5
@@ -157,32 +156,19 @@ def causality_scores(long: DataFrame, spec: PanelSpec, max_lag: int | None = Non
 
 
 def tree_importance(
-    train: DataFrame, spec: PanelSpec, names: Sequence[str], rounds: int = 100, depth: int = 10
-) -> dict[str, float]:
-    """Impurity importance of the candidates in one pooled random forest.
+    train: DataFrame, spec: PanelSpec, names: Sequence[str], rounds: int = 100, depth: int | None = None
+) -> DataFrame:
+    """Impurity importance of each candidate in a random forest of its series: keys, variable, score.
 
-    The forest sees all series together, with the measure in units of each
-    series' mean; the result has one number per candidate.
+    Missing values count as zero. The importances of a series sum to one, or are
+    all zero where its measure does not vary.
     """
-    observed = train.dropna(subset=[spec.value])
-    mean = F.avg(spec.value).over(spec.series())
-    label = F.try_divide(F.col(spec.value), mean)
-    filled = observed.withColumns({f"in_{n}": F.coalesce(F.col(n).cast("double"), F.lit(0.0)) for n in names})
-    vectors = (
-        VectorAssembler(inputCols=[f"in_{n}" for n in names], outputCol="features")
-        .transform(filled.withColumn("label", label).dropna(subset=["label"]))
-        .select("features", "label")
-    )
-    if vectors.isEmpty():
-        return dict.fromkeys(names, 0.0)
-    forest = regressor("rf", rounds, depth).fit(vectors)
-    return dict(zip(names, (float(v) for v in forest.featureImportances.toArray())))
-
-
-def importance_scores(usable: DataFrame, importance: Mapping[str, float]) -> DataFrame:
-    """The pooled importance as a score of each series' usable candidates."""
-    table = F.create_map(*[F.lit(part) for pair in importance.items() for part in pair])
-    return usable.withColumn("score", F.try_element_at(table, F.col("variable")))
+    inputs = [F.coalesce(F.col(n).cast("double"), F.lit(0.0)) for n in names]
+    series = training_series(train, spec, inputs, spec.time)
+    forest = regressor("rf", rounds, depth)("y", "x", F.lit(len(names)))
+    labels = F.array(*[F.lit(n) for n in names])
+    pairs = F.arrays_zip(labels.alias("variable"), F.col("forest.importance").alias("score"))
+    return series.select(*spec.keys, forest.alias("forest")).select(*spec.keys, F.inline(pairs))
 
 
 def choose(
@@ -264,11 +250,11 @@ def select_variables(
     arima_long = long.filter(F.col("variable").isin(*arima_names)) if arima_names else long.limit(0)
     arima_usable = usable.filter(F.col("variable").isin(*arima_names)) if arima_names else usable.limit(0)
     by_information = choose(usable, mutual_information(long, spec), spec)
-    importance = tree_importance(train, spec, names, importance_rounds) if names else {}
+    importance = tree_importance(train, spec, names, importance_rounds) if names else None
     return {
         "sarimax": choose(arima_usable, causality_scores(arima_long, spec), spec, True, False),
         "prophet": by_information,
-        "rf": choose(usable, importance_scores(usable, importance), spec),
+        "rf": choose(usable, importance, spec),
         "xgb": by_information,
         "lgb": choose(usable, None, spec),
     }

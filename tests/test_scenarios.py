@@ -1,12 +1,9 @@
 import pytest
-from hypothesis import given, settings
-from hypothesis import strategies as st
 from pyspark.sql import functions as F
 
 from loomcast import YEARLY
 from loomcast.operators.attribution import (
     attribute,
-    coalitions,
     influential,
     linear_attribution,
     mean_absolute,
@@ -96,29 +93,13 @@ def test_rows_that_cannot_be_scored_stay_with_null(frame, statistics):
     assert {(r["product"], r.scenario_forecast is None) for r in table.collect()} == {("a-b", True), ("c", False)}
 
 
-@settings(max_examples=30, deadline=None)
-@given(st.integers(1, 10), st.data())
-def test_coalition_weights_give_shapley_values_of_a_linear_function(k, data):
-    weight = data.draw(st.lists(st.floats(-5, 5), min_size=k, max_size=k))
-    design = coalitions(k, permutations=3)
-    total = [0.0] * k
-    for members, weights in design:
-        value = sum(w for w, m in zip(weight, members) if m)
-        total = [t + w * value for t, w in zip(total, weights)]
-    assert total == pytest.approx(weight, abs=1e-9)
-
-
-def test_tree_attribution_sums_to_prediction_minus_baseline(frame):
+def test_tree_attribution_sums_to_prediction_minus_expectation(frame):
     names = ["a_norm", "b_norm", "c"]
     fitted = fit_model("rf", frame, YEARLY, names, rounds=5, depth=3)
     made = tree_attribution(fitted, frame).groupBy(*YEARLY.cell).agg(F.sum("attribution").alias("total"))
-    usual = fitted.inputs(frame).withColumns(
-        {f"in_{n}": F.avg(F.when(F.col("split") == "train", F.col(f"in_{n}"))).over(YEARLY.series()) for n in names}
-    )
-    base = fitted.score_inputs(usual).select(*YEARLY.cell, F.col("predicted").alias("base"))
-    both = fitted.score(frame).join(base, list(YEARLY.cell)).join(made, list(YEARLY.cell))
+    both = fitted.explained(frame).join(made, list(YEARLY.cell))
     assert both.count() == 14
-    assert both.filter("abs(predicted - base - total) > 1e-9").count() == 0
+    assert both.filter("abs(predicted - expected - total) > 1e-9").count() == 0
     assert attribute(fit_model("naive", frame, YEARLY), frame) is None
     constant = tree_attribution(fitted, frame).filter("variable = 'c' and abs(attribution) > 1e-12")
     assert constant.count() == 0
