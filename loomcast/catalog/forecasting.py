@@ -45,7 +45,7 @@ def every_forecast(fitted, frame, digits=4):
     return t.rounded(made.select(*RESULT, "status"), digits, "predicted")
 
 
-def smoothing_sql(grid) -> str:
+def smoothing_sql(grid, digits: int | None = 4) -> str:
     """Holt-Winters recursion over arrays, all parameter sets at once.
 
     The queue ``q`` holds the season with the current phase in front. Series of
@@ -92,7 +92,7 @@ def smoothing_sql(grid) -> str:
         select *, row_number() over (partition by product, country order by sse, set_id) as place from ends)
       where place = 1)
     select h.product, h.country, h.year, h.month, h.step, h.value as actual,
-           round(s.level + h.step * s.trend + s.q[(h.step - 1) % 12 + 1], 4) as predicted,
+           {"" if digits is None else "round"}(s.level + h.step * s.trend + s.q[(h.step - 1) % 12 + 1]{"" if digits is None else f", {digits}"}) as predicted,
            coalesce(s.status, 'too_short') as status
     from held h left join best s using (product, country) where h.split = 'test'"""
     )
@@ -285,6 +285,34 @@ stump_query("gbt_level_first_split", "xgb", penalty=1.0, rate=0.3, least_rows=1)
 stump_query("gbt_leaf_first_split", "lgb", penalty=0.0, rate=0.1, least_rows=20)
 
 
+TWO_MODELS = f"""
+with smoothed as ({smoothing_sql(GRID, None)}),
+repeated as ({t.WITH_NAIVE} select product, country, year, month, step, actual, naive as predicted from forecasts),
+single as (
+  select product, country, year, month, actual, 'exp_smoothing' as model, predicted, status from smoothed where predicted is not null
+  union all
+  select product, country, year, month, actual, 'naive', predicted, 'ok' from repeated where predicted is not null),
+every as (
+  select * from single
+  union all
+  select product, country, year, month, max(actual), 'ensemble', avg(predicted), 'ok' from single group by 1, 2, 3, 4)
+select product, country, model, max(status) as status, count(*) as n,
+       round(sqrt(avg((actual - predicted) * (actual - predicted))), 3) as rmse,
+       round(avg(abs(actual - predicted) / greatest(abs(actual), 2.220446049250313e-16)), 6) as mape,
+       round(1 - sum((actual - predicted) * (actual - predicted)) / nullif(var_pop(actual) * count(*), 0), 6) as r2,
+       '' as exo_var_1, '' as exo_var_5, model = 'exp_smoothing' as baseline
+from every group by product, country, model
+"""
+
+
+@query("backtest_smoothing", TWO_MODELS)
+def backtest_smoothing(spark, folder):
+    """The whole back-test on two models that SQL can follow: split, fit, measure, rank, combine."""
+    result = backtest(t.dense(spark, folder), MONTHLY, models=("exp_smoothing", "naive"), options={"exp_smoothing": {"grid": GRID}})
+    kept = ("product", "country", "model", "status", "n", "rmse", "mape", "r2", "exo_var_1", "exo_var_5", "baseline")
+    return t.rounded(t.rounded(result.metrics.select(*kept), 3, "rmse"), 6, "mape", "r2")
+
+
 @query("backtest_metrics")
 def backtest_metrics(spark, folder):
     result = backtest(t.monthly_features(spark, folder), MONTHLY)

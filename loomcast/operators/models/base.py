@@ -120,6 +120,15 @@ def predictions(fitted: Fitted, frame: DataFrame, extra: Sequence[str] = ()) ->
     )
 
 
+def by_series(rows: DataFrame, spec: PanelSpec) -> DataFrame:
+    """Rows dealt out by series over all shuffle partitions.
+
+    A series is few bytes and much work, so that partitions joined by their
+    size would leave the fits of a panel to few tasks.
+    """
+    return rows.repartition(int(rows.sparkSession.conf.get("spark.sql.shuffle.partitions")), *spec.keys)
+
+
 def series_arrays(frame: DataFrame, spec: PanelSpec, slots: Sequence[Column] = ()) -> DataFrame:
     """One row per series with its cells in time order as arrays.
 
@@ -137,7 +146,8 @@ def series_arrays(frame: DataFrame, spec: PanelSpec, slots: Sequence[Column] = (
     )
     kept = ["exo_vars"] if "exo_vars" in rows.columns else []
     return (
-        rows.groupBy(*spec.keys)
+        by_series(rows, spec)
+        .groupBy(*spec.keys)
         .agg(F.array_sort(F.collect_list(cell)).alias("cells"), *[F.any_value(c).alias(c) for c in kept])
         .select(
             *spec.keys,

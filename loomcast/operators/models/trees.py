@@ -12,7 +12,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark.sql.pandas.types import to_arrow_schema
 
-from loomcast.operators.models.base import Fitted, with_variables
+from loomcast.operators.models.base import Fitted, by_series, with_variables
 from loomcast.operators.models.growing import FIELDS, Growth, attributed, boosted, forest_of, predicted
 from loomcast.session import checkpoint
 from loomcast.spec import PanelSpec
@@ -83,7 +83,7 @@ def training_series(train: DataFrame, spec: PanelSpec, inputs: Sequence[Column],
     rows = train.select(*spec.keys, *order, F.col(spec.value).cast("double").alias("y"), x.alias("x"))
     rows = rows.filter(F.col("y").isNotNull() & F.forall("x", lambda v: v.isNotNull() & ~F.isnan(v)))
     cells = F.array_sort(F.collect_list(F.struct(*order, "y", "x")))
-    return rows.groupBy(*spec.keys).agg(cells.alias("cells")).select(
+    return by_series(rows, spec).groupBy(*spec.keys).agg(cells.alias("cells")).select(
         *spec.keys,
         F.size("cells").alias("n"),
         F.transform("cells", lambda c: c["y"]).alias("y"),
@@ -122,7 +122,7 @@ class TreeModel(Fitted):
 
         series = {f"_{k}": F.col(k) for k in keys}  # names of its own, as both sides may come from one table
         fits = self.parameters.select(*[c.alias(k) for k, c in series.items()], "n", "exo_vars", *_ARRAYS, "base")
-        return rows.withColumn("_x", x).groupBy(*keys).cogroup(fits.groupBy(*series)).applyInArrow(run, schema)
+        return by_series(rows.withColumn("_x", x), self.spec).groupBy(*keys).cogroup(fits.groupBy(*series)).applyInArrow(run, schema)
 
     def score(self, rows: DataFrame) -> DataFrame:
         """``rows`` with ``predicted`` and ``status``; null where an input is missing."""

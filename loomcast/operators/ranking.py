@@ -17,8 +17,13 @@ WEIGHT_OFFSET = 1e-6
 
 
 def model_metrics(forecasts: DataFrame, spec: PanelSpec) -> DataFrame:
-    """Accuracy of every model, the ensemble included, in one aggregate."""
-    return forecasts.groupBy(*spec.keys, "model").agg(*accuracy_columns())
+    """Accuracy of every model, the ensemble included, in one aggregate.
+
+    Where the forecasts have a ``status``, the result lists those of a model's
+    rows, joined by ``+``.
+    """
+    made = [F.array_join(F.array_sort(F.collect_set("status")), "+").alias("status")] if "status" in forecasts.columns else []
+    return forecasts.groupBy(*spec.keys, "model").agg(*made, *accuracy_columns())
 
 
 def priority(model: Column) -> Column:
@@ -28,8 +33,13 @@ def priority(model: Column) -> Column:
 
 
 def rank_models(metrics: DataFrame, spec: PanelSpec, top: int = 3) -> DataFrame:
-    """Best models per series by MAPE; missing errors last, ties in fixed order."""
-    order = spec.series().orderBy(F.col("mape").asc_nulls_last(), priority(F.col("model")), "model")
+    """Best models per series by MAPE; missing errors last, ties in fixed order.
+
+    A model that only repeated the last value (status ``fallback``) comes after
+    all that were fitted.
+    """
+    fell_back = [F.contains(F.col("status"), F.lit("fallback"))] if "status" in metrics.columns else []
+    order = spec.series().orderBy(*fell_back, F.col("mape").asc_nulls_last(), priority(F.col("model")), "model")
     return (
         metrics.filter(F.col("model") != ENSEMBLE)
         .withColumn("rank", F.row_number().over(order))

@@ -241,20 +241,23 @@ def select_variables(
     names: Sequence[str],
     arima_names: Sequence[str],
     importance_rounds: int = 100,
+    models: Sequence[str] = ("sarimax", "prophet", "rf", "xgb", "lgb"),
 ) -> dict[str, DataFrame]:
-    """Chosen variables per model: mutual information for 'prophet' and 'xgb',
-    forest importance for 'rf', Granger causality for 'sarimax', column order
-    for 'lgb'."""
+    """Chosen variables of each of the ``models`` that takes any: mutual
+    information for 'prophet' and 'xgb', forest importance for 'rf', Granger
+    causality for 'sarimax', column order for 'lgb'."""
+    if not names:
+        return {}
     long = long_form(train.dropna(subset=[spec.value]), spec, names)
     usable = varying(long, spec)
     arima_long = long.filter(F.col("variable").isin(*arima_names)) if arima_names else long.limit(0)
     arima_usable = usable.filter(F.col("variable").isin(*arima_names)) if arima_names else usable.limit(0)
     by_information = choose(usable, mutual_information(long, spec), spec)
-    importance = tree_importance(train, spec, names, importance_rounds) if names else None
-    return {
-        "sarimax": choose(arima_usable, causality_scores(arima_long, spec), spec, True, False),
-        "prophet": by_information,
-        "rf": choose(usable, importance, spec),
-        "xgb": by_information,
-        "lgb": choose(usable, None, spec),
+    chosen = {
+        "sarimax": lambda: choose(arima_usable, causality_scores(arima_long, spec), spec, True, False),
+        "prophet": lambda: by_information,
+        "rf": lambda: choose(usable, tree_importance(train, spec, names, importance_rounds), spec),
+        "xgb": lambda: by_information,
+        "lgb": lambda: choose(usable, None, spec),
     }
+    return {m: made() for m, made in chosen.items() if m in models}

@@ -38,9 +38,10 @@ def selection_table(
     models: Sequence[str],
     importance_rounds: int = 100,
 ) -> DataFrame:
-    """Chosen variables of all models in one table: keys, model, exo_vars."""
-    chosen = select_variables(train, spec, names, arima_names, importance_rounds)
-    return stack([df.withColumn("model", F.lit(m)) for m, df in chosen.items() if m in models])
+    """Chosen variables of the models in one table: keys, model, exo_vars."""
+    none = train.select(*spec.keys, F.array().cast("array<string>").alias("exo_vars"), F.lit("").alias("model")).limit(0)
+    chosen = select_variables(train, spec, names, arima_names, importance_rounds, models)
+    return stack([none, *(df.withColumn("model", F.lit(m)) for m, df in chosen.items())])
 
 
 def with_fallback(forecasts: DataFrame, naive: DataFrame, spec: PanelSpec) -> DataFrame:

@@ -12,7 +12,7 @@ from pyspark.sql import functions as F
 from loomcast.operators.features import add_history_features
 from loomcast.operators.integrate import fill_gaps
 from loomcast.operators.models import fit_model, predictions
-from loomcast.operators.models.registry import PRIORITY
+from loomcast.operators.models.registry import MODELS, PRIORITY
 from loomcast.operators.ranking import combine, forecast_summary, rank_models, yearly_summary
 from loomcast.operators.reshape import columns_to_variables, stack
 from loomcast.operators.selection import without_gaps
@@ -108,10 +108,14 @@ def refit(
         rows = frame.join(members.select(*spec.keys), list(spec.keys), "left_semi")
         if model in ("sarimax", "prophet"):
             members = without_gaps(members, rows, spec, names[model])
-        fitted = fit_model(model, rows, spec, names[model], members, **options.get(model, {}))
+        fitted = fit_model(model, rows, spec, names.get(model, ()), members, **options.get(model, {}))
         return predictions(fitted, rows)
 
-    made = together(frame.sparkSession, [partial(forecast, m) for m in PRIORITY if m in ranked])
+    listed = [m for m in PRIORITY if m in ranked] + sorted(ranked - set(PRIORITY))
+    unknown = [m for m in listed if m not in MODELS]
+    if unknown:
+        raise ValueError(f"ranked models that cannot be fitted: {unknown}")
+    made = together(frame.sparkSession, [partial(forecast, m) for m in listed])
     both = stack(made)
     if fallback:
         both = with_fallback(both, predictions(fit_model("naive", frame, spec), frame), spec)
@@ -121,7 +125,7 @@ def refit(
 
 
 def _assemble(single: DataFrame, joint: DataFrame) -> DataFrame:
-    return stack([single.drop("status"), joint]).withColumn("in_ensemble", F.lit(True))
+    return stack([single, joint.withColumn("status", F.lit("ok"))]).withColumn("in_ensemble", F.lit(True))
 
 
 def forecast_months(

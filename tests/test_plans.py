@@ -125,12 +125,17 @@ def yearly_metrics(yearly):
 
 
 def test_yearly_backtest_falls_back(yearly):
-    short = yearly.filter("year < 2016")
+    short = yearly.filter("year < 2014")
     made = backtest(short, YEARLY, options=QUICK, importance_rounds=3)
     status = {(r.model, r.status) for r in made.forecasts.collect()}
     assert ("sarimax", "fallback") in status and ("exp_smoothing", "no_season") in status
     row = made.forecasts.filter("model = 'sarimax' and product = 'd'").first()
-    assert row.predicted == short.filter("product = 'd' and year = 2014").first().value
+    assert row.predicted == short.filter("product = 'd' and year = 2012").first().value
+    assert "fallback" in made.metrics.filter("model = 'sarimax' and product = 'd'").first().status
+    ranks = {r["product"]: r["rank"] for r in made.ranking.filter("model = 'sarimax'").collect()}
+    assert all(rank == 3 for rank in ranks.values())  # behind whatever was fitted
+    longer = backtest(yearly.filter("year < 2016"), YEARLY, models=("sarimax", "naive"))
+    assert {(r.model, r.status) for r in longer.metrics.collect()} == {("sarimax", "no_season"), ("naive", "ok"), ("ensemble", "ok")}
 
 
 def test_yearly_future(spark, yearly, yearly_metrics, tmp_path):
