@@ -48,51 +48,61 @@ def every_forecast(fitted, frame, digits=4):
 def smoothing_sql(grid, digits: int | None = 4) -> str:
     """Holt-Winters recursion over arrays, all parameter sets at once.
 
-    The queue ``q`` holds the season with the current phase in front. Series of
-    less than two seasons are smoothed without one, and need two values.
+    The queue ``q`` holds the season with the current phase in front. A month
+    without a value moves the states on. Series without two seasons are
+    smoothed without one, and need two values.
     """
     sets = ", ".join(f"({i}, {a}::double, {b}::double, {g}::double)" for i, (a, b, g) in enumerate(grid))
     return (
         t._with(t.LOCATED, t.PANEL, t.GRID, t.TRAIN_TEST).replace("with ", "with recursive ", 1)
         + f""", params(set_id, a, b, g) as (values {sets}),
+    spans as (
+      select product, country, min(year * 12 + month) as t0, max(year * 12 + month) as t1, count(*) as seen
+      from held where split = 'train' group by 1, 2),
     series as (
-      select product, country, list(value order by year, month) filter (where split = 'train') as y
-      from held group by 1, 2),
+      select d.product, d.country, any_value(t1) as t1, any_value(seen) as seen, list(d.value order by d.year, d.month) as y
+      from dense d join spans s on s.product = d.product and s.country = d.country
+           and d.year * 12 + d.month between t0 and t1
+      group by 1, 2),
     started as (
-      select product, country, y, len(y) as n, list_avg(y[1:12]) as first_mean,
+      select product, country, t1, y, len(y) as n, list_avg(y[1:12]) as first_mean,
              (list_avg(y[13:24]) - list_avg(y[1:12])) / 12 as slope
-      from series where len(y) >= 24),
+      from series where len(y) >= 24 and list_count(y[13:24]) > 0),
     smooth as (
-      select product, country, set_id, a, b, g, 12 as i, n, first_mean + slope * 11 / 2 as level, slope as trend,
-             list_transform(range(1, 13), lambda k: y[k] - (first_mean + slope * ((k - 1) - 5.5::double))) as q,
+      select product, country, t1, set_id, a, b, g, 12 as i, n, first_mean + slope * 11 / 2 as level, slope as trend,
+             list_transform(range(1, 13), lambda k: coalesce(y[k] - (first_mean + slope * ((k - 1) - 5.5::double)), 0)) as q,
              0.0::double as sse, y
       from started, params
       union all
-      select product, country, set_id, a, b, g, i + 1, n,
-             a * (y[i + 1] - q[1]) + (1 - a) * (level + trend),
-             b * (a * (y[i + 1] - q[1]) + (1 - a) * (level + trend) - level) + (1 - b) * trend,
-             list_append(q[2:12], g * (y[i + 1] - level - trend) + (1 - g) * q[1]),
-             sse + (y[i + 1] - (level + trend + q[1])) * (y[i + 1] - (level + trend + q[1])), y
+      select product, country, t1, set_id, a, b, g, i + 1, n,
+             coalesce(a * (y[i + 1] - q[1]) + (1 - a) * (level + trend), level + trend),
+             coalesce(b * (a * (y[i + 1] - q[1]) + (1 - a) * (level + trend) - level) + (1 - b) * trend, trend),
+             list_append(q[2:12], coalesce(g * (y[i + 1] - level - trend) + (1 - g) * q[1], q[1])),
+             sse + coalesce((y[i + 1] - (level + trend + q[1])) * (y[i + 1] - (level + trend + q[1])), 0), y
       from smooth where i < n),
+    unseasoned as (
+      select *, list_filter(range(2, len(y) + 1), lambda k: y[k] is not null)[1] as j from series s
+      where seen >= 2 and not exists (select 1 from started x where x.product = s.product and x.country = s.country)),
     plain as (
-      select product, country, set_id, a, b, 2 as i, len(y) as n, y[2] as level, y[2] - y[1] as trend, 0.0::double as sse, y
-      from series, params where len(y) between 2 and 23
+      select product, country, t1, set_id, a, b, j as i, len(y) as n, y[j] as level, (y[j] - y[1]) / (j - 1) as trend,
+             0.0::double as sse, y
+      from unseasoned, params
       union all
-      select product, country, set_id, a, b, i + 1, n, a * y[i + 1] + (1 - a) * (level + trend),
-             b * (a * y[i + 1] + (1 - a) * (level + trend) - level) + (1 - b) * trend,
-             sse + (y[i + 1] - (level + trend)) * (y[i + 1] - (level + trend)), y
+      select product, country, t1, set_id, a, b, i + 1, n, coalesce(a * y[i + 1] + (1 - a) * (level + trend), level + trend),
+             coalesce(b * (a * y[i + 1] + (1 - a) * (level + trend) - level) + (1 - b) * trend, trend),
+             sse + coalesce((y[i + 1] - (level + trend)) * (y[i + 1] - (level + trend)), 0), y
       from plain where i < n),
     ends as (
-      select product, country, set_id, level, trend, q, sse, 'ok' as status from smooth where i = n
+      select product, country, t1, set_id, level, trend, q, sse, 'ok' as status from smooth where i = n
       union all
-      select product, country, set_id, level, trend, list_transform(range(12), lambda k: 0.0::double), sse, 'no_season'
+      select product, country, t1, set_id, level, trend, list_transform(range(12), lambda k: 0.0::double), sse, 'no_season'
       from plain where i = n),
     best as (
       select * from (
         select *, row_number() over (partition by product, country order by sse, set_id) as place from ends)
       where place = 1)
     select h.product, h.country, h.year, h.month, h.step, h.value as actual,
-           {"" if digits is None else "round"}(s.level + h.step * s.trend + s.q[(h.step - 1) % 12 + 1]{"" if digits is None else f", {digits}"}) as predicted,
+           {"" if digits is None else "round"}(s.level + (h.year * 12 + h.month - t1) * s.trend + s.q[(h.year * 12 + h.month - t1 - 1) % 12 + 1]{"" if digits is None else f", {digits}"}) as predicted,
            coalesce(s.status, 'too_short') as status
     from held h left join best s using (product, country) where h.split = 'test'"""
     )

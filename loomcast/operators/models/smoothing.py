@@ -18,40 +18,49 @@ _RESULT = "status string, alpha double, beta double, gamma double, sse double, p
 _BATCH = 256  # series smoothed together; bounds the memory of one numpy step
 
 
+def has_season(y: np.ndarray, m: int) -> bool:
+    """Whether a calendar of values (nan where there is none) tells a season: two of them, with a value in each."""
+    return len(y) >= 2 * m and bool(np.isfinite(y[m : 2 * m]).any())
+
+
 def smooth(y: np.ndarray, steps: int, grid: np.ndarray, m: int) -> dict[str, np.ndarray]:
     """Smooth equally long series with every parameter set and keep the best.
 
-    ``y`` is series x time, ``grid`` is parameter sets x 3. The recursion runs
-    over time once, for all series and parameter sets together.
+    ``y`` is series x period from each series' first value on, nan where a period
+    has none, ``grid`` is parameter sets x 3, and ``m`` the season, or 1 for none.
+    The recursion runs over time once, for all series and parameter sets
+    together. A period without a value moves level and season on and counts
+    no error. Without a season the first two values give level and trend.
     """
     count, n = y.shape
     a, b, g = (grid[:, i][None, :] for i in range(3))
-    seasonal = n >= 2 * m
     shape = (count, len(grid))
-    if seasonal:
-        first, second = y[:, :m].mean(axis=1), y[:, m : 2 * m].mean(axis=1)
+    if m > 1:
+        first, second = np.nanmean(y[:, :m], axis=1), np.nanmean(y[:, m : 2 * m], axis=1)
         slope = (second - first) / m
         level0 = first + slope * (m - 1) / 2
-        season0 = y[:, :m] - (first[:, None] + slope[:, None] * (np.arange(m) - (m - 1) / 2))
-        start = m
+        season0 = np.nan_to_num(y[:, :m] - (first[:, None] + slope[:, None] * (np.arange(m) - (m - 1) / 2)))
+        start, begun = m, np.ones(count, bool)
     else:
-        slope, level0, season0, start = y[:, 1] - y[:, 0], y[:, 1], np.zeros((count, 1)), 2
-        m = 1
+        slope, level0, season0, start, begun = np.zeros(count), y[:, 0], np.zeros((count, 1)), 1, np.zeros(count, bool)
     level = np.broadcast_to(level0[:, None], shape)
     trend = np.broadcast_to(slope[:, None], shape)
     season = [np.broadcast_to(season0[:, i][:, None], shape) for i in range(m)]
     sse, fitted = np.zeros(shape), []
     for i in range(start, n):
-        x, s = y[:, i][:, None], season[i % m]
-        expected = level + trend + s
-        fitted.append(expected)
-        error = x - expected
+        seen = np.isfinite(y[:, i])
+        second, seen = (seen & ~begun)[:, None], (seen & begun)[:, None]
+        x, s = np.nan_to_num(y[:, i])[:, None], season[i % m]
+        fitted.append(np.where(begun[:, None], level + trend + s, np.nan))
+        error = np.where(seen, x - (level + trend + s), 0.0)
         sse = sse + error * error
-        new_level = a * (x - s) + (1 - a) * (level + trend)
-        if seasonal:
-            season[i % m] = g * (x - level - trend) + (1 - g) * s
-        trend = b * (new_level - level) + (1 - b) * trend
-        level = new_level
+        new_level = np.where(seen, a * (x - s) + (1 - a) * (level + trend), level + trend)
+        if m > 1:
+            season[i % m] = np.where(seen, g * (x - level - trend) + (1 - g) * s, s)
+        trend = np.where(seen, b * (new_level - level) + (1 - b) * trend, trend)
+        trend = np.where(second, (x - y[:, :1]) / i, trend)
+        level = np.where(second, x, new_level)
+        begun = begun | second[:, 0]
     best = sse.argmin(axis=1)
     rows = np.arange(count)
     ahead = [
@@ -62,22 +71,28 @@ def smooth(y: np.ndarray, steps: int, grid: np.ndarray, m: int) -> dict[str, np.
 
 
 def smoother(grid: Sequence[tuple[float, float, float]], season: int):
-    """Pandas UDF over (training values, periods to forecast)."""
+    """Pandas UDF over (periods, training values); training periods come first."""
     table = np.asarray(grid, dtype=float)
 
     @F.pandas_udf(_RESULT)
-    def run(y: pd.Series, n_test: pd.Series) -> pd.DataFrame:
+    def run(ts: pd.Series, y: pd.Series) -> pd.DataFrame:
         out = [("too_short", None, None, None, None, None)] * len(y)
-        shapes = pd.DataFrame({"n": y.map(len).to_numpy(), "h": n_test.to_numpy()})
-        for (n, h), members in shapes.groupby(["n", "h"]).groups.items():
-            if n < 2:
+        groups: dict[tuple, list] = {}
+        for i, (t, values) in enumerate(zip(ts, y, strict=True)):
+            t, values = np.asarray(t, np.int64), np.asarray(values, float)
+            if len(values) < 2:
                 continue
-            status = "ok" if n >= 2 * season else "no_season"
-            for at in range(0, len(members), _BATCH):
-                part = members[at : at + _BATCH]
-                found = smooth(np.stack([np.asarray(y.iloc[i], float) for i in part]), int(h), table, season)
-                for k, i in enumerate(part):
-                    out[i] = (status, *table[found["best"][k]], found["sse"][k], found["path"][k])
+            at = t - t[0]
+            calendar = np.full(at[len(values) - 1] + 1, np.nan)
+            calendar[at[: len(values)]] = values
+            groups.setdefault((len(calendar), has_season(calendar, season)), []).append((i, at, calendar))
+        for (n, seasonal), members in groups.items():
+            for first in range(0, len(members), _BATCH):
+                part = members[first : first + _BATCH]
+                steps = max(0, max(int(at[-1]) for _, at, _ in part) + 1 - n)
+                found = smooth(np.stack([c for *_, c in part]), steps, table, season if seasonal else 1)
+                for k, (i, at, _) in enumerate(part):
+                    out[i] = ("ok" if seasonal else "no_season", *table[found["best"][k]], found["sse"][k], found["path"][k][at])
         return pd.DataFrame(out, columns=["status", "alpha", "beta", "gamma", "sse", "path"])
 
     return run
@@ -93,12 +108,14 @@ def fit_smoothing(
 ) -> PathModel:
     """Holt-Winters per series; smoothing weights by least squared error on a grid.
 
-    Needs two full seasons; shorter series are smoothed without a season, and a
-    series with a single value gets no forecast. Exogenous variables play no
+    States follow the calendar: a missing period, also one before the horizon,
+    moves them on. Needs two full seasons with a value in each; shorter series
+    are smoothed without a season, and a series with a single value gets no
+    forecast. Exogenous variables play no
     part, which makes this the baseline and the source of seed forecasts.
     """
     series = series_arrays(frame, spec)
-    fitted = series.withColumn("fit", smoother(grid, spec.season)("y", "n_test")).select(
+    fitted = series.withColumn("fit", smoother(grid, spec.season)("ts", "y")).select(
         *spec.keys,
         "fit.status",
         "fit.alpha",

@@ -79,7 +79,7 @@ def test_in_sample_rows_of_smoothing_are_fitted_values(frame):
 
 def test_smoothing_step_by_hand():
     y = np.array([[1.0, 2.0, 3.0, 5.0]])
-    out = smooth(y, 2, np.array([[0.5, 0.5, 0.5]]), 4)
+    out = smooth(y, 2, np.array([[0.5, 0.5, 0.5]]), 1)
     level, trend = 2.0, 1.0
     for v in (3.0, 5.0):
         new = 0.5 * v + 0.5 * (level + trend)
@@ -89,6 +89,22 @@ def test_smoothing_step_by_hand():
     assert out["sse"][0] == pytest.approx(0.0 + 1.0)
 
 
+def test_smoothing_passes_over_missing_periods(make):
+    nan = float("nan")
+    y = np.array([[1.0, nan, 5.0, nan, 8.0]])
+    out = smooth(y, 1, np.array([[0.5, 0.5, 0.5]]), 1)
+    level, trend = 5.0 + 2.0, 2.0  # moved on over the fourth period
+    new = 0.5 * 8.0 + 0.5 * (level + trend)
+    trend = 0.5 * (new - level) + 0.5 * trend
+    assert out["path"][0, 5] == pytest.approx(new + trend) and out["sse"][0] == pytest.approx((8.0 - 9.0) ** 2)
+    # gaps inside, over a year's end and before the horizon leave season and trend in place
+    cells = [(i, v) for i, v in enumerate(pattern(72)) if i not in (30, 31, 59)]
+    rows = [("p", "X", 2011 + i // 12, i % 12 + 1, float(v)) for i, v in cells]
+    df = split_last(make("product string, country string, year int, month int, value double", rows), MONTHLY)
+    df = df.withColumn("t", MONTHLY.index())
+    assert max(errors(fit_model("exp_smoothing", df, MONTHLY), df, "p")) < 0.2
+
+
 def test_least_squares_matches_numpy(make):
     rng = np.random.default_rng(3)
     x = rng.normal(size=(50, 3)) * [1, 100, 1e4] + [0, 1e3, 1e6]
