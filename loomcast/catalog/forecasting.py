@@ -386,3 +386,11 @@ def future_forecast_yearly(spark, folder):
     features = checkpoint(t.yearly_features(spark, folder))
     made = forecast_years(features, _metrics(features, YEARLY, t.CUTOFF), YEARLY, t.CUTOFF, t.LAST, ("active_customers",))
     return t.rounded(made.summary, 4, "forecast")
+
+
+@query("future_forecast_yearly_rows")
+def future_forecast_yearly_rows(spark, folder):
+    """The rows behind the summary: in-sample and horizon of the three best models and their ensemble, with status."""
+    features = checkpoint(t.yearly_features(spark, folder))
+    made = forecast_years(features, _metrics(features, YEARLY, t.CUTOFF), YEARLY, t.CUTOFF, t.LAST, ("active_customers",))
+    return t.rounded(made.forecasts, 4, "predicted")

@@ -20,7 +20,7 @@ from loomcast.plans.prepare import (
 from loomcast.session import checkpoint
 from loomcast.spec import MONTHLY
 
-FIRST, LAST, CUTOFF = 1995, 2001, 2001
+FIRST, LAST, CUTOFF = 1995, 2001, 2000
 INDICATORS = ("active_customers", "urgent_pct", "avg_order_value")
 DERIVED = {"urgent_customers": ("urgent_pct", "active_customers")}
 ALL_INDICATORS = (*INDICATORS, *DERIVED)

@@ -213,10 +213,11 @@ def attributed(spark, folder):
 @query(
     "attribution_linear",
     ATTRIBUTION
-    + "select product, country, year, split, variable, round(attribution, 6) as attribution from attributed",
+    + "select product, country, year, split, variable, round(attribution, 6) + 0.0::double as attribution from attributed",
 )
 def attribution_linear(spark, folder):
-    return t.rounded(attributed(spark, folder), 6, "attribution")
+    # a zero has no sign
+    return attributed(spark, folder).withColumn("attribution", F.round("attribution", 6) + F.lit(0.0))
 
 
 IMPORTANCE = """, importance as (

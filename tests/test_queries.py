@@ -38,7 +38,7 @@ def test_entry_has_rows(spark):
 
 TREES = [
     "random_forest", "gbt_deep", "gbt_small", "select_tree_importance", "attribution_trees", "backtest_metrics", "backtest_yearly_metrics",
-    "future_forecast_monthly", "future_forecast_yearly", "scenarios_of_top_models",
+    "future_forecast_monthly", "future_forecast_yearly", "future_forecast_yearly_rows", "scenarios_of_top_models",
 ]
 
 
