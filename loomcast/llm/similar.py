@@ -17,6 +17,7 @@ from contextlib import contextmanager
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -24,8 +25,8 @@ from loomcast.llm.common import arrow_schema, mixed, release
 from loomcast.llm.components import components
 from loomcast.session import checkpoint
 
-#: 64-bit words of the filter of wanted sets: 1 MB whatever the input.
-_FILTER_WORDS = 1 << 17
+#: Most 64-bit words of a filter (16 MB). One that is too small for its values passes more, and joins drop the rest.
+_MOST_WORDS = 1 << 21
 #: Sets of a small bucket; in general, half of this is the most pairs per set that may be listed.
 LARGE = 128
 
@@ -42,24 +43,58 @@ def small_batches(spark, rows: int = 64):
         spark.conf.set(name, before)
 
 
-def wanted_filter(nodes: DataFrame) -> np.ndarray:
-    """Bits of the nodes' hashes; other nodes may pass too, wanted ones always do."""
-    bit = F.col("node").bitwiseAND(_FILTER_WORDS * 64 - 1)
+def wanted_filter(nodes: DataFrame, column: str = "node") -> np.ndarray:
+    """Bits of the values (hashes), 16 or more for each up to ``_MOST_WORDS``; other values may pass too."""
+    size = min(_MOST_WORDS, 1 << max(10, (nodes.count() // 4).bit_length()))
+    bit = F.col(column).bitwiseAND(size * 64 - 1)
     words = nodes.groupBy(F.shiftright(bit, 6).alias("word")).agg(
         F.bit_or(F.call_function("shiftleft", F.lit(1).cast("long"), bit.bitwiseAND(63).cast("int"))).alias("bits")
     )
     found = words.toArrow()
-    out = np.zeros(_FILTER_WORDS, np.uint64)
+    out = np.zeros(size, np.uint64)
     out[found.column("word").to_numpy()] = found.column("bits").to_numpy().view(np.uint64)
     return out
 
 
-def passes(nodes: np.ndarray, words: np.ndarray) -> np.ndarray:
-    """Which of the nodes (int64) may be wanted."""
-    bit = nodes & (_FILTER_WORDS * 64 - 1)
+def passes(values: np.ndarray, words: np.ndarray) -> np.ndarray:
+    """Which of the values (int64) may be wanted."""
+    bit = values & (len(words) * 64 - 1)
     return (words[bit >> 6] >> (bit & 63).astype(np.uint64)) & np.uint64(1) == 1
 
 
+def last_bits(column: str, bits: int):
+    """The last bits of a 64-bit value, signed."""
+    return F.shiftright(F.shiftleft(column, 64 - bits), 64 - bits)
+
+
+def shared_postings(keyed: DataFrame) -> DataFrame:
+    """(key, node, n, rest) of the keys that two different nodes of ``keyed`` (node, n, rest, keys) have, and few others.
+
+    Keys are counted by their last bits, as many as tell most of them apart, and
+    nodes by 40 bits; copies of a set (equal nodes) share no key here. What a
+    filter of the shared ones passes is all that is written out key by key.
+    """
+    total = keyed.agg(F.sum(F.size("keys"))).first()[0] or 0
+    ends = keyed.select(F.explode("keys").alias("key"), last_bits("node", 40).alias("node"))
+    short = last_bits("key", min(64, max(32, total.bit_length() + 8))).alias("short")
+    ends = ends.groupBy(short).agg(F.min("node").alias("low"), F.max("node").alias("high"))
+    words = keyed.sparkSession.sparkContext.broadcast(wanted_filter(checkpoint(ends.filter("low < high").select("short")), "short"))
+    schema = "key long, node long, n long, rest long"
+    arrow = arrow_schema(schema)
+
+    def run(batches):
+        for batch in batches:
+            lists = batch.column("keys")
+            keys, row = lists.flatten().to_numpy(), pc.list_parent_indices(lists).to_numpy()
+            at = np.flatnonzero(passes(keys, words.value))
+            row = pa.array(row[at])
+            columns = [pa.array(keys[at]), *(batch.column(c).take(row) for c in ("node", "n", "rest"))]
+            yield pa.RecordBatch.from_arrays(columns, schema=arrow)
+        release()
+
+    return keyed.select("node", "n", F.col("rest").cast("long"), "keys").mapInArrow(run, schema)
+
+
 def verified(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
     """The pairs (a, b) whose sets have a Jaccard similarity of ``percent`` / 100 or more, exactly."""
 
