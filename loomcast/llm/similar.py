@@ -68,17 +68,23 @@ def last_bits(column: str, bits: int):
 
 
 def shared_postings(keyed: DataFrame) -> DataFrame:
-    """(key, node, n, rest) of the keys that two different nodes of ``keyed`` (node, n, rest, keys) have, and few others.
+    """(key, node, n, rest) of the keys that two different nodes of ``keyed`` (node, n, rest, quiet, keys) have, and few others.
 
     Keys are counted by their last bits, as many as tell most of them apart, and
-    nodes by 40 bits; copies of a set (equal nodes) share no key here. What a
-    filter of the shared ones passes is all that is written out key by key.
+    nodes by 40 bits; copies of a set (equal nodes) share no key here. ``quiet``
+    has a bit for each key whose set was compared with the only other one of its
+    text that has the key, and is not similar: such a key is shared if its quiet
+    sets or its others are two. What a filter of the shared keys passes is all
+    that is written out key by key.
     """
     total = keyed.agg(F.sum(F.size("keys"))).first()[0] or 0
-    ends = keyed.select(F.explode("keys").alias("key"), last_bits("node", 40).alias("node"))
+    ends = keyed.select(F.posexplode("keys").alias("at", "key"), last_bits("node", 40).alias("node"), "quiet")
     short = last_bits("key", min(64, max(32, total.bit_length() + 8))).alias("short")
-    ends = ends.groupBy(short).agg(F.min("node").alias("low"), F.max("node").alias("high"))
-    words = keyed.sparkSession.sparkContext.broadcast(wanted_filter(checkpoint(ends.filter("low < high").select("short")), "short"))
+    is_quiet = F.call_function("shiftright", "quiet", "at").bitwiseAND(1) == 1
+    sides = [F.when(side, F.col("node")) for side in (is_quiet, ~is_quiet)]
+    two = F.coalesce(F.min(sides[0]) < F.max(sides[0]), F.lit(False)) | F.coalesce(F.min(sides[1]) < F.max(sides[1]), F.lit(False))
+    ends = ends.groupBy(short).agg(two.alias("two"))
+    words = keyed.sparkSession.sparkContext.broadcast(wanted_filter(checkpoint(ends.filter("two").select("short")), "short"))
     schema = "key long, node long, n long, rest long"
     arrow = arrow_schema(schema)
 
