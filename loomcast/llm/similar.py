@@ -44,8 +44,8 @@ def small_batches(spark, rows: int = 64):
 
 
 def wanted_filter(nodes: DataFrame, column: str = "node") -> np.ndarray:
-    """Bits of the values (hashes), 16 or more for each up to ``_MOST_WORDS``; other values may pass too."""
-    size = min(_MOST_WORDS, 1 << max(10, (nodes.count() // 4).bit_length()))
+    """Bits of the values (hashes), 64 or more for each up to ``_MOST_WORDS``; other values may pass too."""
+    size = min(_MOST_WORDS, 1 << max(10, nodes.count().bit_length()))
     bit = F.col(column).bitwiseAND(size * 64 - 1)
     words = nodes.groupBy(F.shiftright(bit, 6).alias("word")).agg(
         F.bit_or(F.call_function("shiftleft", F.lit(1).cast("long"), bit.bitwiseAND(63).cast("int"))).alias("bits")
@@ -79,12 +79,11 @@ def shared_postings(keyed: DataFrame) -> DataFrame:
     """
     total = keyed.agg(F.sum(F.size("keys"))).first()[0] or 0
     ends = keyed.select(F.posexplode("keys").alias("at", "key"), last_bits("node", 40).alias("node"), "quiet")
+    is_quiet = F.call_function("shiftright", "quiet", "at").bitwiseAND(1) == 1  # counted under the inverted key
+    ends = ends.withColumn("key", F.when(is_quiet, F.bitwise_not("key")).otherwise(F.col("key")))
     short = last_bits("key", min(64, max(32, total.bit_length() + 8))).alias("short")
-    is_quiet = F.call_function("shiftright", "quiet", "at").bitwiseAND(1) == 1
-    sides = [F.when(side, F.col("node")) for side in (is_quiet, ~is_quiet)]
-    two = F.coalesce(F.min(sides[0]) < F.max(sides[0]), F.lit(False)) | F.coalesce(F.min(sides[1]) < F.max(sides[1]), F.lit(False))
-    ends = ends.groupBy(short).agg(two.alias("two"))
-    words = keyed.sparkSession.sparkContext.broadcast(wanted_filter(checkpoint(ends.filter("two").select("short")), "short"))
+    ends = ends.groupBy(short).agg(F.min("node").alias("low"), F.max("node").alias("high"))
+    words = keyed.sparkSession.sparkContext.broadcast(wanted_filter(checkpoint(ends.filter("low < high").select("short")), "short"))
     schema = "key long, node long, n long, rest long"
     arrow = arrow_schema(schema)
 
@@ -92,7 +91,7 @@ def shared_postings(keyed: DataFrame) -> DataFrame:
         for batch in batches:
             lists = batch.column("keys")
             keys, row = lists.flatten().to_numpy(), pc.list_parent_indices(lists).to_numpy()
-            at = np.flatnonzero(passes(keys, words.value))
+            at = np.flatnonzero(passes(keys, words.value) | passes(~keys, words.value))
             row = pa.array(row[at])
             columns = [pa.array(keys[at]), *(batch.column(c).take(row) for c in ("node", "n", "rest"))]
             yield pa.RecordBatch.from_arrays(columns, schema=arrow)
