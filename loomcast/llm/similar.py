@@ -21,7 +21,7 @@ import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from loomcast.llm.common import arrow_schema, mixed, release
+from loomcast.llm.common import arrow_schema, distinct, mixed, release
 from loomcast.llm.components import components
 from loomcast.session import checkpoint
 
@@ -67,30 +67,57 @@ def last_bits(column: str, bits: int):
     return F.shiftright(F.shiftleft(column, 64 - bits), 64 - bits)
 
 
+def _few_rows(batches, rows: int = 1024):
+    """Batches of so many rows: each can hold many keys."""
+    for batch in batches:
+        for first in range(0, batch.num_rows, rows):
+            yield batch.slice(first, rows)
+
+
+def _flat(batch: pa.RecordBatch) -> tuple[np.ndarray, np.ndarray]:
+    """All keys of a batch and the row of each."""
+    lists = batch.column("keys")
+    return lists.flatten().to_numpy(), np.repeat(np.arange(len(lists)), pc.list_value_length(lists).to_numpy())
+
+
 def shared_postings(keyed: DataFrame) -> DataFrame:
     """(key, node, n, rest) of the keys that two different nodes of ``keyed`` (node, n, rest, quiet, keys) have, and few others.
 
-    Keys are counted by their last bits, as many as tell most of them apart, and
-    nodes by 40 bits; copies of a set (equal nodes) share no key here. ``quiet``
-    has a bit for each key whose set was compared with the only other one of its
-    text that has the key, and is not similar: such a key is shared if its quiet
-    sets or its others are two. What a filter of the shared keys passes is all
-    that is written out key by key.
+    A key and its node are counted as one number, of as many bits of the key as
+    tell most keys apart; the other bits, 24 or more, are of the node. Copies of a set
+    (equal nodes) share no key here. Each batch sends two rows a key at most, so
+    a hot key is a few rows. ``quiet`` has a bit for each key whose set was
+    compared with another one of its text that has the key, and is not similar:
+    such keys are counted apart, inverted. What a filter of the shared keys
+    passes is all that is written out key by key.
     """
     total = keyed.agg(F.sum(F.size("keys"))).first()[0] or 0
-    ends = keyed.select(F.posexplode("keys").alias("at", "key"), last_bits("node", 40).alias("node"), "quiet")
-    is_quiet = F.call_function("shiftright", "quiet", "at").bitwiseAND(1) == 1  # counted under the inverted key
-    ends = ends.withColumn("key", F.when(is_quiet, F.bitwise_not("key")).otherwise(F.col("key")))
-    short = last_bits("key", min(64, max(32, total.bit_length() + 8))).alias("short")
-    ends = ends.groupBy(short).agg(F.min("node").alias("low"), F.max("node").alias("high"))
+    of_node = 64 - min(40, max(32, total.bit_length() + 6))
+
+    def counted(batches):
+        for batch in _few_rows(batches):
+            keys, row = _flat(batch)
+            place = np.arange(len(row)) - np.searchsorted(row, row)
+            hushed = batch.column("quiet").to_numpy()[row] >> place & 1 == 1
+            key = np.where(hushed, ~keys, keys).view(np.uint64) << np.uint64(of_node)
+            node = batch.column("node").to_numpy()[row] ^ keys  # nodes that look alike under one key differ under the next
+            node = mixed(node.view(np.uint64)) & np.uint64((1 << of_node) - 1)
+            both = distinct(key | node)
+            edge = np.diff(both >> np.uint64(of_node)) != 0
+            ends = both[np.concatenate([[True], edge]) | np.concatenate([edge, [True]])] if len(both) else both
+            yield pa.RecordBatch.from_arrays([pa.array(ends.view(np.int64))], names=["both"])
+        release()
+
+    both = keyed.select("node", "quiet", "keys").mapInArrow(counted, "both long")
+    short = F.shiftright("both", of_node)
+    ends = both.repartition(short).groupBy(short.alias("short")).agg(F.min("both").alias("low"), F.max("both").alias("high"))
     words = keyed.sparkSession.sparkContext.broadcast(wanted_filter(checkpoint(ends.filter("low < high").select("short")), "short"))
     schema = "key long, node long, n long, rest long"
     arrow = arrow_schema(schema)
 
     def run(batches):
-        for batch in batches:
-            lists = batch.column("keys")
-            keys, row = lists.flatten().to_numpy(), pc.list_parent_indices(lists).to_numpy()
+        for batch in _few_rows(batches):
+            keys, row = _flat(batch)
             at = np.flatnonzero(passes(keys, words.value) | passes(~keys, words.value))
             row = pa.array(row[at])
             columns = [pa.array(keys[at]), *(batch.column(c).take(row) for c in ("node", "n", "rest"))]
