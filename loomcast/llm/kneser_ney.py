@@ -17,7 +17,7 @@ from __future__ import annotations
 import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql.types import DoubleType, StructField, StructType
 
@@ -25,13 +25,15 @@ from loomcast.llm.common import arrow_schema, byte_texts, slices
 from loomcast.session import checkpoint
 
 ORDER = 4
-#: Trusted documents of a language, about, that its model and limits are fitted on; four fifths train.
-MOST_TRUSTED = 20_000
 #: Held-out texts that a limit needs; with fewer, one of more text is used.
 LEAST_HELD = 30
 #: Entries of the table of chances that is sent to every task; beyond it, documents join it by shuffle.
 MOST_CHANCES = 4_000_000
 QUANTILE, MARGIN = 0.995, 1.1
+#: Most 64-bit words of the filter of trusted ids (8 MB); beyond 16 bits an id it passes more, and the join drops the rest.
+_MOST_WORDS = 1 << 20
+#: Bins per unit of log perplexity in which held-out texts are counted for the quantiles.
+_BINS = 1024
 #: Bytes from which on a document belongs to the next class of lengths.
 LENGTHS = (128, 512, 2048)
 _START = 1
@@ -178,21 +180,66 @@ def _scored_by_broadcast(docs: DataFrame, table: DataFrame) -> DataFrame:
     return docs.mapInArrow(run, StructType([*docs.schema.fields, StructField("mean_logp", DoubleType())]))
 
 
-def _sample(docs: DataFrame, labels: DataFrame, trusted: int) -> DataFrame:
-    """(doc_id, lang, text, held) of about ``trusted`` trusted documents of each language; some of each train."""
+def _sample(docs: DataFrame, labels: DataFrame, trusted: int | None = None) -> DataFrame:
+    """(doc_id, lang, text, held) of the trusted documents, a fifth held out; some of each language train.
+
+    All of them, or about ``trusted`` of each language where a number is given.
+    """
     of_lang = F.coalesce("lang", F.lit("")).alias("of_lang")
     ids = labels.filter("quality = 1 and toxic = 0 and doc_id is not null").select("doc_id").distinct()
     known = checkpoint(docs.select("doc_id", of_lang).join(ids, "doc_id").distinct())
-    place = F.call_function("shiftrightunsigned", F.xxhash64("doc_id"), F.lit(11)) / F.lit(float(1 << 53))
-    sizes = known.groupBy("of_lang").agg(F.count(F.lit(1)).alias("size"))  # one row per language
-    chosen = known.join(sizes, "of_lang").filter(place * F.col("size") < trusted)
-    chosen = checkpoint(chosen.withColumn("held", F.pmod(F.xxhash64("doc_id", F.lit(7)), F.lit(5)) == 0).drop("size"))
+    if trusted is not None:
+        place = F.call_function("shiftrightunsigned", F.xxhash64("doc_id"), F.lit(11)) / F.lit(float(1 << 53))
+        sizes = known.groupBy("of_lang").agg(F.count(F.lit(1)).alias("size"))  # one row per language
+        known = known.join(sizes, "of_lang").filter(place * F.col("size") < trusted).drop("size")
+    chosen = known.withColumn("held", F.pmod(F.xxhash64("doc_id", F.lit(7)), F.lit(5)) == 0)
     none_trains = chosen.groupBy("of_lang").agg(F.every("held").alias("none_trains"))
     chosen = checkpoint(chosen.join(none_trains, "of_lang").withColumn("held", F.expr("held and not none_trains")).drop("none_trains"))
-    texts = docs.select("doc_id", "lang", "text", of_lang)
+    texts = _with_ids(docs.select("doc_id", "lang", "text", of_lang), chosen)
     return texts.join(chosen, ["doc_id", "of_lang"]).drop("of_lang")
 
 
+def _with_ids(texts: DataFrame, wanted: DataFrame) -> DataFrame:
+    """The rows whose doc_id is in ``wanted``, and few others: what a join with it then has to shuffle."""
+    size = min(_MOST_WORDS, 1 << max(6, (wanted.count() // 4).bit_length()))
+    bit = F.pmod(F.xxhash64("doc_id", F.lit(3)), F.lit(64 * size))
+    mask = F.call_function("shiftleft", F.lit(1).cast("long"), bit.bitwiseAND(63).cast("int"))
+    none = texts.sparkSession.range(size).select(F.col("id").alias("word"), F.lit(0).cast("long").alias("bits"))
+    words = none.union(wanted.select(F.shiftright(bit, 6), mask)).groupBy("word").agg(F.bit_or("bits").alias("bits"))
+    words = checkpoint(words.agg(F.sort_array(F.collect_list(F.struct("word", "bits"))).alias("words")).select("words.bits"))
+    word = F.element_at(words.scalar(), (F.shiftright(bit, 6) + 1).cast("int"))
+    return texts.filter(word.bitwiseAND(mask) != 0)
+
+
+def _quantiles(held: DataFrame, quantile: float) -> DataFrame:
+    """(kind, of_lang, of_class, n, found): exact interpolated quantile of the perplexities of each group.
+
+    Kinds are ``own`` (a language and class), ``language``, ``length`` and
+    ``all``; what a kind does not tell apart is '' or -1. Equal values are
+    counted first, then bins of them; only the values in the bins that hold the
+    wanted ranks are put in order.
+    """
+    lang, size = F.col("of_lang"), F.col("of_class")
+    kinds = [("own", lang, size), ("language", lang, F.lit(-1)), ("length", F.lit(""), size), ("all", F.lit(""), F.lit(-1))]
+    groups = F.inline(F.array(*[F.struct(F.lit(k).alias("kind"), a.alias("of_lang"), b.alias("of_class")) for k, a, b in kinds]))
+    group = ["kind", "of_lang", "of_class"]
+    known = held.filter("perplexity is not null").groupBy("of_lang", "of_class", "perplexity").agg(F.count(F.lit(1)).alias("c"))
+    values = known.select(groups, "perplexity", "c").withColumn("bin", F.floor(F.log("perplexity") * _BINS))
+    values = checkpoint(values.groupBy(*group, "bin", "perplexity").agg(F.sum("c").alias("c")))
+    before = lambda w: F.coalesce(F.sum("c").over(w.rowsBetween(Window.unboundedPreceding, -1)), F.lit(0))
+    bins = values.groupBy(*group, "bin").agg(F.sum("c").alias("c"))
+    bins = bins.withColumn("n", F.sum("c").over(Window.partitionBy(*group))).withColumn("before", before(Window.partitionBy(*group).orderBy("bin")))
+    bins = bins.withColumn("place", (F.col("n") - 1) * F.lit(quantile))
+    low, high = F.floor("place"), F.ceil("place")
+    wanted = bins.filter((F.col("before") <= high) & (F.col("before") + F.col("c") > low)).drop("c")
+    near = values.join(wanted, [*group, "bin"])
+    near = near.withColumn("before", F.col("before") + before(Window.partitionBy(*group, "bin").orderBy("perplexity")))
+    at = lambda rank: F.max(F.when((F.col("before") <= rank) & (F.col("before") + F.col("c") > rank), F.col("perplexity")))
+    ends = near.groupBy(*group, "n", "place").agg(at(low).alias("x"), at(high).alias("y"))
+    between = (high - F.col("place")) * F.col("x") + (F.col("place") - low) * F.col("y")
+    return ends.select(*group, "n", F.when(F.col("x") == F.col("y"), F.col("x")).otherwise(between).alias("found"))
+
+
 def _limits(held: DataFrame, langs: DataFrame, quantile: float, margin: float) -> DataFrame:
     """(of_lang, of_class, limit) for every class of ``langs``, the languages with a model.
 
@@ -201,25 +248,26 @@ def _limits(held: DataFrame, langs: DataFrame, quantile: float, margin: float) -
     texts vary more: a limit from other lengths is at least that of the class
     over all languages.
     """
-    found = F.percentile("perplexity", F.lit(quantile)) * margin
-    enough = F.when(F.count("perplexity") >= LEAST_HELD, found)
-    own = held.groupBy("of_lang", "of_class").agg(enough.alias("own"))
-    of_language = held.groupBy("of_lang").agg(enough.alias("of_language"))
-    of_length = held.groupBy("of_class").agg(found.alias("of_length"))
+    found = checkpoint(_quantiles(held, quantile))  # a row per language and class, and their sums
+    of = lambda kind, least=0: found.filter((F.col("kind") == kind) & (F.col("n") >= least))
+    limit = F.col("found") * margin
+    own = of("own", LEAST_HELD).select("of_lang", "of_class", limit.alias("own"))
+    of_language = of("language", LEAST_HELD).select("of_lang", limit.alias("of_language"))
+    of_length = of("length").select("of_class", limit.alias("of_length"))
     classes = langs.select("of_lang", F.explode(F.array(*[F.lit(k) for k in range(len(LENGTHS) + 1)])).alias("of_class"))
     joined = classes.join(own, ["of_lang", "of_class"], "left").join(of_language, "of_lang", "left").join(of_length, "of_class", "left")
-    joined = joined.join(F.broadcast(held.agg(found.alias("of_all"))), F.lit(True), "left")
+    joined = joined.join(F.broadcast(of("all").select(limit.alias("of_all"))), F.lit(True), "left")
     other = F.greatest(F.coalesce("of_language", "of_all"), "of_length")
     return joined.select("of_lang", "of_class", F.coalesce("own", other).alias("limit"))
 
 
 def quality_scores(
-    docs: DataFrame, labels: DataFrame, trusted: int = MOST_TRUSTED, quantile: float = QUANTILE, margin: float = MARGIN
+    docs: DataFrame, labels: DataFrame, trusted: int | None = None, quantile: float = QUANTILE, margin: float = MARGIN
 ) -> DataFrame:
     """``docs`` (doc_id, text, lang and others) with perplexity, length_class, limit and kept.
 
-    Trusted are labelled rows with quality 1 and toxic 0, about ``trusted`` of
-    each language by the hash of their id. ``limit`` is the ``quantile`` of
+    Trusted are all labelled rows with quality 1 and toxic 0, or if ``trusted``
+    is given, about so many of each language by the hash of their id. ``limit`` is the ``quantile`` of
     held-out trusted perplexities, times ``margin``. A document is kept if its
     perplexity is not above; without text it is rejected; without a limit (no
     trusted text of its language, hence no model) it is kept. Columns of these

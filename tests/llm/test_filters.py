@@ -1,11 +1,13 @@
 """Secret scans, URL filter, quality rules, decontamination and the classifier."""
 
+import inspect
 import math
 import random
 import re
 from collections import Counter
 
 import pytest
+from pyspark.sql import functions as F
 
 from loomcast.llm.common import hashed_words
 from loomcast.llm import kneser_ney
@@ -173,6 +175,34 @@ def test_classifier_limits_of_rare_classes_and_languages(make):
     assert {r.lang for r in few if 15 <= r["count"] <= 80} == {"en", "es"}
 
 
+def test_classifier_learns_from_all_trusted_text(make):
+    """Neither the model nor the limits are of a part of the trusted documents, however many there are."""
+    ids = range(20_600)
+    docs = make("doc_id long, text string, lang string", [(i, f"a{i % 7}", "en") for i in ids])
+    labels = make("doc_id long, quality int, toxic int", [(i, 1, 0) for i in ids])
+    taken = kneser_ney._sample(docs, labels)
+    assert taken.count() == len(ids)
+    assert 0.19 < taken.filter("held").count() / len(ids) < 0.21
+    assert inspect.signature(quality_scores).parameters["trusted"].default is None
+
+
+def test_quantiles_of_held_out_text_are_exact(make):
+    rnd = random.Random(8)
+    rows = [(rnd.choice(["", "en", "es"]), rnd.randrange(4), rnd.choice([2.5, 1 + rnd.random() / 1e4, rnd.uniform(1, 90), None])) for _ in range(3000)]
+    rows += [("fr", 1, 7.0), ("pt", 2, None)]
+    held = make("of_lang string, of_class int, perplexity double", rows)
+    kinds = {"own": ["of_lang", "of_class"], "language": ["of_lang"], "length": ["of_class"], "all": []}
+    for q in (0.0, 0.3, 0.995, 1.0):
+        want = {}
+        for kind, by in kinds.items():
+            for r in held.groupBy(*by).agg(F.percentile("perplexity", F.lit(q)).alias("p"), F.count("perplexity").alias("n")).collect():
+                if r.n:
+                    want[kind, *(r[c] if c in by else d for c, d in (("of_lang", ""), ("of_class", -1)))] = r.n, r.p
+        got = {(r.kind, r.of_lang, r.of_class): (r.n, r.found) for r in kneser_ney._quantiles(held, q).collect()}
+        assert got == want
+    assert kneser_ney._quantiles(held.limit(0), 0.995).collect() == []
+
+
 def test_classifier_by_shuffle_equals_broadcast(make, monkeypatch):
     docs = make("doc_id long, text string, lang string", [(i, f"some words number {i} and more of them", "en") for i in range(40)])
     labels = make("doc_id long, quality int, toxic int", [(i, 1, 0) for i in range(30)])
