@@ -37,8 +37,8 @@ _BINS = 1024
 #: Bytes from which on a document belongs to the next class of lengths.
 LENGTHS = (128, 512, 2048)
 _START = 1
-#: Bytes of text whose 4-grams are sorted at once; each takes about 50 bytes of memory.
-_SLICE = 2 << 20
+#: Bytes of text whose 4-grams are counted, or looked up, at once; each takes about 50 bytes of memory.
+_SLICE, _LOOKUP = 1 << 20, 1 << 19
 _SPACES = np.zeros(1 << 16, bool)
 _SPACES[[9, 10, 11, 12, 13, 32]] = True
 
@@ -162,24 +162,30 @@ def _scored_by_broadcast(docs: DataFrame, table: DataFrame) -> DataFrame:
     columns = [f.name for f in docs.schema]
 
     def run(batches):
-        for part in slices(batches, size=_SLICE):
-            langs = part.column("lang").to_pylist()
-            found = [grams(t) for t in byte_texts(part.column("text"))]
-            mean: list = [None] * len(found)
-            for lang, (known, logp) in share.value.items():
-                own = [i for i, x in enumerate(langs) if (x or "") == lang and len(found[i])]
-                if own:
-                    every, where = np.unique(np.concatenate([found[i] for i in own]), return_inverse=True)
-                    value = logp[np.minimum(np.searchsorted(known, every), len(known) - 1)].astype(np.float64)[where]
-                    size = np.array([len(found[i]) for i in own])
-                    sums = np.add.reduceat(value, np.cumsum(size) - size) / size
-                    for i, m in zip(own, sums.tolist(), strict=True):
-                        mean[i] = m
+        for part, mean in _means(batches, share.value):
             yield pa.RecordBatch.from_arrays([*(part.column(c) for c in columns), pa.array(mean, pa.float64())], names=[*columns, "mean_logp"])
 
     return docs.mapInArrow(run, StructType([*docs.schema.fields, StructField("mean_logp", DoubleType())]))
 
 
+def _means(batches, by_lang: dict):
+    """Slices of the batches (lang, text and others) and the mean log chance of each text, by (grams, chances) per language."""
+    for part in slices(batches, size=_LOOKUP):
+        langs = part.column("lang").to_pylist()
+        found = [grams(t) for t in byte_texts(part.column("text"))]
+        mean: list = [None] * len(found)
+        for lang, (known, logp) in by_lang.items():
+            own = [i for i, x in enumerate(langs) if (x or "") == lang and len(found[i])]
+            if own:
+                every, where = np.unique(np.concatenate([found[i] for i in own]), return_inverse=True)
+                value = logp[np.minimum(np.searchsorted(known, every), len(known) - 1)].astype(np.float64)[where]
+                size = np.array([len(found[i]) for i in own])
+                sums = np.add.reduceat(value, np.cumsum(size) - size) / size
+                for i, m in zip(own, sums.tolist(), strict=True):
+                    mean[i] = m
+        yield part, mean
+
+
 def _sample(docs: DataFrame, labels: DataFrame, trusted: int | None = None) -> DataFrame:
     """(doc_id, lang, text, held) of the trusted documents, a fifth held out; some of each language train.
 

@@ -203,6 +203,23 @@ def test_quantiles_of_held_out_text_are_exact(make):
     assert kneser_ney._quantiles(held.limit(0), 0.995).collect() == []
 
 
+def test_lookup_of_chances_takes_little_memory():
+    import tracemalloc
+
+    import numpy as np
+    import pyarrow as pa
+
+    rnd = random.Random(2)
+    texts = ["".join(rnd.choices("abcdefgh ", k=2000)) for _ in range(2000)]
+    known = np.unique(np.concatenate([grams(t.encode()) for t in texts[:50]]))
+    batch = pa.RecordBatch.from_pydict({"lang": ["en"] * len(texts), "text": texts})
+    tracemalloc.start()
+    means = [m for _, part in kneser_ney._means([batch], {"en": (known, np.zeros(len(known), np.float32))}) for m in part]
+    peak = tracemalloc.get_traced_memory()[1]
+    tracemalloc.stop()
+    assert means == [0.0] * len(texts) and peak < 48 << 20
+
+
 def test_classifier_by_shuffle_equals_broadcast(make, monkeypatch):
     docs = make("doc_id long, text string, lang string", [(i, f"some words number {i} and more of them", "en") for i in range(40)])
     labels = make("doc_id long, quality int, toxic int", [(i, 1, 0) for i in range(30)])
